@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.geography import SUBURB_OVERRIDES, constant_table
-from tidemark.sources.raw import RAW_LISTINGS, SCORES, typed
+from tidemark.sources.raw import RAW_LISTINGS, SCORES
 
 FIRST_YEAR = 1995
 CUTOFF = "1998-08-01"  # the given line items run from 1995 to 2001
@@ -70,7 +70,8 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = {
         "listing_id": listing,
         "scrape_id": 1_000_000 + mi,
-        "source_month": F.date_format("month", "MM_yyyy"),
+        "source_month": F.concat(two(F.month("month")), F.lit("_"),
+                                 F.year("month").cast("string")),
         "scraped_date": F.when(late, F.date_add("day", 40)).otherwise(F.col("day")),
         "host_id": host,
         "host_name": F.when(gap, None).when(host % 17 == 0, "  ")
@@ -176,4 +177,5 @@ def land(spark: SparkSession, sf_dir: str, root: str) -> dict[str, DataFrame]:
 def landed(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     raw = {n: spark.read.parquet(f"{root}/{n}")
            for n in ("census_g01", "census_g02", "nsw_lga_code", "nsw_lga_suburb")}
-    return {"listings": typed(spark.read.parquet(f"{root}/listings"), RAW_LISTINGS), **raw}
+    monthly = spark.read.schema(RAW_LISTINGS).parquet(f"{root}/listings")
+    return {"listings": monthly.select(*RAW_LISTINGS.names), **raw}

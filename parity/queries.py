@@ -40,19 +40,20 @@ def portable(df: DataFrame) -> DataFrame:
 # ---- inputs -------------------------------------------------------------------------
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return listings.bronze_listings(adapter.listings(spark, sf_dir))
-
-
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return listings.clean_listings(bronze(spark, sf_dir), adapter.CUTOFF)
+_landed: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_houses: dict[tuple[str, str], Warehouse] = {}
 
 
-def first_run(clean: DataFrame) -> DataFrame:
-    return clean.where(F.col("listing_month") <= F.lit(RUN_1_LAST_MONTH).cast("date"))
+def _session_key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return spark.sparkContext.applicationId, sf_dir
 
 
-_houses: dict[tuple[str, str], Warehouse] = {}
+def landed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The raw tables as a loading job left them: made once per session, then read by all."""
+    at = _session_key(spark, sf_dir)
+    if at not in _landed:
+        _landed[at] = adapter.land(spark, sf_dir, Scratch(spark, "raw").path)
+    return _landed[at]
 
 
 def house(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -61,38 +62,45 @@ def house(spark: SparkSession, sf_dir: str) -> Warehouse:
     The first build sees the months up to 1997 and no suburb overrides, the second
     everything, so the dimensions hold closed and open versions.
     """
-    at = (spark.sparkContext.applicationId, sf_dir)
+    at = _session_key(spark, sf_dir)
     if at not in _houses:
         root = Scratch(spark, "warehouse").path
-        raw = adapter.land(spark, sf_dir, f"{root}/raw")
+        raw = landed(spark, sf_dir)
         early = dates.month_start(F.col("source_month")) <= F.lit(RUN_1_LAST_MONTH).cast("date")
-        build.run_build(spark, {**raw, "listings": raw["listings"].where(early)},
-                        f"{root}/built", RUN_1, cutoff=adapter.CUTOFF, overrides=(),
-                        with_gold=False)
-        _houses[at] = build.run_build(spark, raw, f"{root}/built", RUN_2, cutoff=adapter.CUTOFF)
+        build.run_build(spark, {**raw, "listings": raw["listings"].where(early)}, root, RUN_1,
+                        cutoff=adapter.CUTOFF, overrides=(), with_gold=False)
+        _houses[at] = build.run_build(spark, raw, root, RUN_2, cutoff=adapter.CUTOFF)
     return _houses[at]
 
 
-def _table(name: str) -> Query:
-    return lambda spark, sf_dir: build.table(house(spark, sf_dir), name)
+def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build.bronze(landed(spark, sf_dir))["listings"]
+
+
+def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return listings.clean_listings(bronze(spark, sf_dir), adapter.CUTOFF)
+
+
+def first_run(clean: DataFrame) -> DataFrame:
+    return clean.where(F.col("listing_month") <= F.lit(RUN_1_LAST_MONTH).cast("date"))
 
 
 # ---- bronze and silver --------------------------------------------------------------
 
 
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored as monthly directories, then read back through the typed reader."""
-    root = Scratch(spark, "landed").path
-    adapter.land(spark, sf_dir, root)
-    return read_raw(spark, "listings", f"{root}/listings")
+    """Stored as comma-separated text, then read back through the typed reader."""
+    path = Scratch(spark, "text").path
+    landed(spark, sf_dir)["listings"].write.option("header", True).csv(
+        path, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return read_raw(spark, "listings", path, "csv")
 
 
 def bronze_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts and a column of the four tables that are copied as they are."""
-    raw = adapter.raw_tables(spark, sf_dir)
+    layer = build.bronze(landed(spark, sf_dir))
     firsts = {"census_g01": "lga_code_2016", "census_g02": "lga_code_2016",
               "nsw_lga_code": "lga_name", "nsw_lga_suburb": "suburb_name"}
-    layer = build.bronze(raw)
     parts = [layer[t].select(F.lit(t).alias("table_name"), F.col(c).alias("first_column"))
              for t, c in firsts.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
@@ -116,15 +124,15 @@ def suburb_override(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def census(name: str) -> Query:
-    return lambda spark, sf_dir: geography.clean_census(adapter.census(spark, sf_dir, name))
+    return lambda spark, sf_dir: geography.clean_census(landed(spark, sf_dir)[name])
 
 
 def lga_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return geography.clean_lga_codes(adapter.lga_codes(spark, sf_dir))
+    return geography.clean_lga_codes(landed(spark, sf_dir)["nsw_lga_code"])
 
 
 def suburb_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return geography.map_suburbs(adapter.suburbs(spark, sf_dir),
+    return geography.map_suburbs(landed(spark, sf_dir)["nsw_lga_suburb"],
                                  geography.suburb_overrides(spark))
 
 
@@ -143,7 +151,7 @@ def scd2_timestamp_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scd2_check_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = adapter.suburbs(spark, sf_dir)
+    raw = landed(spark, sf_dir)["nsw_lga_suburb"]
     runs = [geography.map_suburbs(raw, geography.suburb_overrides(spark, rows))
             .select("suburb_name", "lga_name") for rows in ((), geography.SUBURB_OVERRIDES)]
     before = snapshot.snapshot_merge(None, runs[0], "suburb_name", check_cols=["lga_name"],
@@ -164,7 +172,7 @@ def key_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = house(spark, sf_dir)
     rows = build.table(h, "silver.listings").select(
         "listing_row_id", "host_id", F.col("host_neighbourhood").alias("suburb_name"))
-    early = h.snapshot("silver.host_snapshot", h.builds()[:1])
+    early = h.snapshot("silver.host_snapshot", h.builds[:1])
     rows = star.resolve_key(rows, "host_id", early, 0, Scratch(spark, "keys"))
     rows = star.resolve_key(rows, "suburb_name", build.table(h, "gold.dim_suburb"), "UNKNOWN")
     return rows.withColumnRenamed("suburb_name", "host_suburb")
@@ -178,7 +186,7 @@ def asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = clean.select("listing_row_id", "host_id", "scraped_date")
     return star.asof_join(rows, versions, F.col("host_id"), "host_id", "scraped_date", {
         "host_is_superhost": "host_is_superhost", "host_neighbourhood": "version_neighbourhood",
-        "valid_from": "version_from"})
+        "valid_from": "version_from"}, small=star.is_small(versions))
 
 
 def fact_listings(spark: SparkSession, sf_dir: str) -> DataFrame:

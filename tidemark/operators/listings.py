@@ -18,16 +18,20 @@ def bronze_listings(raw: DataFrame) -> DataFrame:
 def clean_listings(bronze: DataFrame, cutoff: str = text.RECODE_CUTOFF) -> DataFrame:
     """One cleaned, typed row per bronze row."""
     c = F.col
-    month = dates.month_start(c("source_month"))
-    seen = dates.iso_day(c("scraped_date"))
-    return bronze.select(
+    # Parsed in a projection of their own, as several columns below read them.
+    dated = bronze.withColumns({
+        "listing_month": dates.month_start(c("source_month")),
+        "scraped_date_raw": dates.iso_day(c("scraped_date")),
+    })
+    month, seen = c("listing_month"), c("scraped_date_raw")
+    return dated.select(
         "listing_row_id",
         "listing_id",
         "host_id",
         "source_month",
-        month.alias("listing_month"),
+        "listing_month",
         dates.clamp_to_month(seen, month).alias("scraped_date"),
-        seen.alias("scraped_date_raw"),
+        "scraped_date_raw",
         dates.is_after_month(seen, month).alias("is_scraped_date_fixed"),
         text.blank_to_null(c("host_name")).alias("host_name"),
         dates.day_first(c("host_since")).alias("host_since"),

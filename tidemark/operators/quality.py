@@ -79,58 +79,95 @@ def _row_fails(rule: Rule) -> Column:
     return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
-def _row_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """All row-level rules of a table in a single scan."""
-    counts = df.agg(*[F.count_if(_row_fails(r)).alias(f"n{i}") for i, r in enumerate(rules)])
+def _row_violations(df: DataFrame, rules: Mapping[int, Rule]) -> DataFrame:
+    """All row-level rules of a table in a single scan: (rule_no, violations)."""
+    counts = df.agg(*[F.count_if(_row_fails(r)).alias(f"n{i}") for i, r in rules.items()])
     return counts.select(F.inline(F.array(*[
-        F.struct(F.lit(r.table).alias("table_name"), F.lit(r.kind).alias("rule"),
-                 F.lit(r.label).alias("column_name"), F.col(f"n{i}").alias("violations"))
-        for i, r in enumerate(rules)
-    ])))
+        F.struct(F.lit(i).alias("rule_no"), F.col(f"n{i}").alias("violations")) for i in rules])))
 
 
-def duplicates(df: DataFrame, columns: Sequence[str], ignore_null: bool) -> DataFrame:
-    """Each value combination that occurs more than once, with its count.
+def _value(columns: Sequence[str]) -> Column:
+    """The checked value as text: one column as it is, several as JSON that shows NULL."""
+    if len(columns) == 1:
+        return F.col(columns[0]).cast("string")
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
-    Counting combines in the map tasks, so a value with a third of all rows is one row per
-    task in the shuffle.
-    """
-    if ignore_null:
-        df = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]))
-    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+def _values(df: DataFrame, rules: Mapping[int, Rule]) -> DataFrame:
+    """(rule_no, value) for every row and rule of a table, NULL left out."""
+    pairs = [F.struct(F.lit(i).alias("rule_no"), _value(r.columns).alias("value"))
+             for i, r in rules.items()]
+    one = pairs[0] if len(pairs) == 1 else F.explode(F.array(*pairs))
+    return df.select(one.alias("pair")).select("pair.*").where("value IS NOT NULL")
+
+
+def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
-def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Each non-NULL child value that is not in the parent, with its number of child rows."""
-    values = (child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    known = parent.select(F.col(parent_column).alias("known")).distinct()
-    return values.join(known, F.col("value") == F.col("known"), "left_anti")
+def duplicates(tables: Mapping[str, DataFrame], rules: Mapping[int, Rule]) -> DataFrame:
+    """(rule_no, violations) of all uniqueness rules in one shuffle.
 
+    Counting combines inside the map tasks, so a value with a third of all rows is one row
+    per task in the shuffle.
+    """
+    values = _union([_values(tables[t], rs) for t, rs in _by_table(rules).items()])
+    counts = values.groupBy("rule_no", "value").agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy("rule_no").agg(F.count_if(F.col("n") > 1).alias("violations"))
 
-def _one(rule: Rule, count: DataFrame) -> DataFrame:
-    return count.select(F.lit(rule.table).alias("table_name"), F.lit(rule.kind).alias("rule"),
-                        F.lit(rule.label).alias("column_name"), "violations")
 
+def orphans(tables: Mapping[str, DataFrame], rules: Mapping[int, Rule]) -> DataFrame:
+    """(rule_no, violations) of all relationship rules in one shuffle.
 
-def _set_rule(tables: Mapping[str, DataFrame], rule: Rule) -> DataFrame:
-    df = tables[rule.table]
-    if rule.kind == RELATIONSHIPS:
-        lost = orphans(df, rule.columns[0], tables[rule.parent], rule.parent_column)
-        return _one(rule, lost.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violations")))
-    repeated = duplicates(df, rule.columns, ignore_null=rule.kind == UNIQUE)
-    return _one(rule, repeated.agg(F.count(F.lit(1)).alias("violations")))
+    Child values (counted) and parent values (marked) meet in one grouping by rule and
+    value, so no child row is ever joined.
+    """
+    children = _union([_values(tables[t], rs) for t, rs in _by_table(rules).items()])
+    parents = _union([
+        tables[r.parent].select(F.lit(i).alias("rule_no"),
+                                F.col(r.parent_column).cast("string").alias("value"))
+        for i, r in rules.items()])
+    both = children.withColumn("child", F.lit(1)).unionByName(
+        parents.withColumn("child", F.lit(0)))
+    values = both.groupBy("rule_no", "value").agg(
+        F.sum("child").alias("n"), F.min("child").alias("lost"))
+    lost = F.when(F.col("lost") == 1, F.col("n")).otherwise(0)
+    return values.groupBy("rule_no").agg(F.sum(lost).alias("violations"))
+
+
+def _by_table(rules: Mapping[int, Rule]) -> dict[str, dict[int, Rule]]:
+    tables: dict[str, dict[int, Rule]] = {}
+    for i, r in rules.items():
+        tables.setdefault(r.table, {})[i] = r
+    return tables
 
 
 def dq_report(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
-    """One row per rule: table_name, rule, column_name, violations, passed."""
-    set_kinds = (UNIQUE, UNIQUE_COMBINATION, RELATIONSHIPS)
-    row_rules: dict[str, list[Rule]] = {}
-    for r in rules:
-        if r.kind not in set_kinds:
-            row_rules.setdefault(r.table, []).append(r)
-    parts = [_row_rules(tables[t], rs) for t, rs in row_rules.items()]
-    parts += [_set_rule(tables, r) for r in rules if r.kind in set_kinds]
-    return (reduce(DataFrame.unionByName, parts)
+    """One row per rule: table_name, rule, column_name, violations, passed.
+
+    Row-level rules take one scan per table; all uniqueness rules share one shuffle, and
+    all relationships another.
+    """
+    numbered = dict(enumerate(rules))
+
+    def of(*kinds: str) -> dict[int, Rule]:
+        return {i: r for i, r in numbered.items() if r.kind in kinds}
+
+    unique_rules, parent_rules = of(UNIQUE, UNIQUE_COMBINATION), of(RELATIONSHIPS)
+    parts = [_row_violations(tables[t], rs) for t, rs in
+             _by_table(of(NOT_NULL, ACCEPTED_VALUES, ACCEPTED_RANGE)).items()]
+    if unique_rules:
+        parts.append(duplicates(tables, unique_rules))
+    if parent_rules:
+        parts.append(orphans(tables, parent_rules))
+    spark = next(iter(tables.values())).sparkSession
+    names = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("no"), F.lit(r.table).alias("table_name"),
+                 F.lit(r.kind).alias("rule"), F.lit(r.label).alias("column_name"))
+        for i, r in numbered.items()])))
+    # A rule over an empty table has no counted row, hence the left join.
+    found = _union(parts).withColumnRenamed("rule_no", "_rule_no")
+    violations = F.coalesce("violations", F.lit(0)).cast("bigint")
+    return (names.join(found, F.col("no") == F.col("_rule_no"), "left")
+            .select("table_name", "rule", "column_name", violations.alias("violations"))
             .withColumn("passed", F.col("violations") == 0))

@@ -24,9 +24,17 @@ UNKNOWN_LGA = {"lga_code": "0", "lga_name": "Unknown", "lga_name_upper": "UNKNOW
 UNKNOWN_SUBURB = {"suburb_name": "UNKNOWN", "lga_name": "UNKNOWN"}
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether ``df`` may be broadcast.  For a stored table this count reads file footers only."""
-    return df.count() <= BROADCAST_ROWS
+Counter = Callable[[DataFrame], int]
+
+
+def count_rows(df: DataFrame) -> int:
+    """For a stored table this reads file footers only."""
+    return df.count()
+
+
+def is_small(df: DataFrame, count: Counter = count_rows) -> bool:
+    """Whether ``df`` may be broadcast."""
+    return count(df) <= BROADCAST_ROWS
 
 
 # ---- dimensions ---------------------------------------------------------------------
@@ -75,14 +83,14 @@ def dim_suburb(snapshot: DataFrame) -> DataFrame:
 
 
 def asof_join(facts: DataFrame, versions: DataFrame, fact_key: Column, version_key: str,
-              at: str, carry: dict[str, str], small: bool | None = None) -> DataFrame:
+              at: str, carry: dict[str, str], small: bool) -> DataFrame:
     """``facts`` with columns of the version of ``fact_key`` valid on date ``at``.
 
     Left outer; ``valid_from <= at < valid_to``.  ``carry`` names the version columns to
     bring along and what to call them.  There is always an equality on the key, so the
     range is only a residual test inside a hash or merge join.
 
-    Versions counted as small are broadcast.  Otherwise both sides are shuffled on the key;
+    ``small`` versions (see ``is_small``) are broadcast.  Otherwise both sides are shuffled on the key;
     a hot fact key is then split by Spark's adaptive skew join (it may split the left side
     of a left join), as long as the caller does not need the rows to stay grouped by key.
     """
@@ -91,7 +99,7 @@ def asof_join(facts: DataFrame, versions: DataFrame, fact_key: Column, version_k
         F.coalesce("valid_to", ntz(OPEN_END)).alias("_to"),
         *[F.col(c).alias(name) for c, name in carry.items()],
     )
-    if is_small(versions) if small is None else small:
+    if small:
         right = F.broadcast(right)
     day = F.col(at).cast("timestamp_ntz")
     hit = (fact_key == F.col("_key")) & (day >= F.col("_from")) & (day < F.col("_to"))
@@ -99,18 +107,19 @@ def asof_join(facts: DataFrame, versions: DataFrame, fact_key: Column, version_k
 
 
 def resolve_key(facts: DataFrame, key: str, members: DataFrame, unknown: object,
-                stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+                stage: Callable[[DataFrame, str], DataFrame] | None = None,
+                small: bool | None = None) -> DataFrame:
     """Replace keys that are no member, and NULL, by ``unknown``.
 
     ``members`` is a frame whose column of the same name holds the valid keys.  Few members
-    are broadcast.  With many members the fact rows are not shuffled to them: the distinct
+    (``small``, counted when not given) are broadcast.  With many members the fact rows are not shuffled to them: the distinct
     fact keys are (hot keys shrink to one row per task), to find the keys that are *not*
     members.  Usually there are none and the facts need no join at all; a few are
     broadcast; many are joined by shuffle, where adaptive skew splitting applies.
     """
     value = F.col(key)
     valid = members.select(F.col(key).alias("_member")).distinct()
-    if is_small(members):
+    if is_small(members) if small is None else small:
         found = facts.join(F.broadcast(valid), value == F.col("_member"), "left")
         return found.withColumn(key, F.coalesce("_member", F.lit(unknown))).drop("_member")
 
@@ -149,7 +158,8 @@ def fact_listings(listings: DataFrame, listing_dim: DataFrame, host_dim: DataFra
     rows = resolve_key(rows, "suburb_name", suburb_dim, UNKNOWN_SUBURB["suburb_name"], stage)
     real_lgas = lga_dim.where(F.col("lga_code") != UNKNOWN_LGA["lga_code"])
     rows = asof_join(rows, real_lgas, upper_name(F.col("listing_neighbourhood")),
-                     "lga_name_upper", "scraped_date", {"lga_code": "found_lga"})
+                     "lga_name_upper", "scraped_date", {"lga_code": "found_lga"},
+                     small=is_small(lga_dim))
     return rows.select(
         "listing_row_id", "listing_id", "host_id",
         F.coalesce("found_lga", F.lit(UNKNOWN_LGA["lga_code"])).alias("listing_lga_code"),

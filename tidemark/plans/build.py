@@ -46,8 +46,7 @@ def run_build(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, run_
     stops after the snapshots, for catching up month by month.
     """
     house = Warehouse(spark, root)
-    done = house.builds()
-    n = done[-1] + 1 if done else 1
+    n = house.next_build()
     src = bronze(raw)
 
     def write(table: str, df: DataFrame, **how) -> DataFrame:
@@ -64,9 +63,9 @@ def run_build(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, run_
         write(f"silver.{name}", geography.clean_census(src[name]))
 
     def advance(table: str, staged: DataFrame, key: str, **how) -> DataFrame:
-        held = house.open_versions(table, done)
+        held = house.open_versions(table)
         house.write_snapshot(table, n, snapshot.snapshot_delta(held, staged, key, **how))
-        return house.snapshot(table, [*done, n])
+        return house.snapshot(table, [*house.builds, n])
 
     host_snap = advance(
         "silver.host_snapshot",
@@ -91,27 +90,27 @@ def run_build(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, run_
         fact = star.fact_listings(clean, **dims, stage=Scratch(spark, f"build-{n}"))
         write("gold.fact_listings", fact, partition_by="listing_month")
     house.commit(n, run_ts)
-    return house
+    return Warehouse(spark, root)
 
 
 def mart(house: Warehouse, name: str) -> DataFrame:
-    """One mart over the last build, computed when read."""
+    """One mart over a build, computed when read."""
     fact = house.table("gold.fact_listings")
     if name == "listing_neighbourhood":
         return marts.listing_neighbourhood(
-            fact, house.table("gold.dim_lga"), house.table("gold.dim_host"))
+            fact, house.table("gold.dim_lga"), house.table("gold.dim_host"), house.rows)
     if name == "property_type":
         return marts.property_type(
             fact, house.table("gold.dim_listing"), house.table("gold.dim_host"),
-            Scratch(house.spark, "mart"))
+            Scratch(house.spark, "mart"), house.rows)
     if name == "host_neighbourhood":
         return marts.host_neighbourhood(
-            fact, house.table("gold.dim_suburb"), house.table("gold.dim_lga"))
+            fact, house.table("gold.dim_suburb"), house.table("gold.dim_lga"), house.rows)
     raise ValueError(f"no mart named {name!r}")
 
 
 def table(house: Warehouse, name: str) -> DataFrame:
-    """Any table, snapshot or mart of the last build by its ``layer.name``.
+    """Any table, snapshot or mart of a build by its ``layer.name``.
 
     The gold census tables are the silver ones unchanged, so they are not stored twice.
     """
@@ -119,7 +118,7 @@ def table(house: Warehouse, name: str) -> DataFrame:
     if layer == "mart":
         return mart(house, alias)
     if name in SNAPSHOTS:
-        return house.snapshot(name, house.builds())
+        return house.snapshot(name)
     if layer == "gold" and alias in CENSUS:
         name = f"silver.{alias}"
     return house.table(name)
@@ -137,6 +136,6 @@ def register_views(house: Warehouse, prefix: str = "") -> list[str]:
 
 
 def quality_report(house: Warehouse, rules=ALL_RULES) -> DataFrame:
-    """The suite over the last build, one row per rule."""
+    """The suite over a build, one row per rule."""
     used = {r.table for r in rules} | {r.parent for r in rules if r.parent}
     return quality.dq_report({t: table(house, t) for t in sorted(used)}, rules)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio
 from ..operators.measures import exact_median, is_active, mom_change, revenue, stays
-from ..operators.star import asof_join, is_small
+from ..operators.star import Counter, asof_join, count_rows, is_small
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
@@ -60,7 +60,7 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
 
 
 def listing_metrics(rows: DataFrame, hosts: DataFrame, group: Sequence[str],
-                    month: str = "month_year") -> DataFrame:
+                    hosts_small: bool, month: str = "month_year") -> DataFrame:
     """The twelve listing metrics per group and month.
 
     ``rows`` are fact rows that already carry the ``group`` columns.  When the host
@@ -71,7 +71,7 @@ def listing_metrics(rows: DataFrame, hosts: DataFrame, group: Sequence[str],
     keys = [*group, month]
     per_host = [*keys, "host_id"]
     superhost = {"host_is_superhost": "host_is_superhost"}
-    if is_small(hosts):
+    if hosts_small:
         marked = asof_join(rows, hosts, F.col("host_id"), "host_id", "scraped_date",
                            superhost, small=True)
         measures = _partials()
@@ -122,22 +122,23 @@ def _or_unknown(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit("Unknown")).alias(name)
 
 
-def listing_neighbourhood(fact: DataFrame, lgas: DataFrame, hosts: DataFrame) -> DataFrame:
+def listing_neighbourhood(fact: DataFrame, lgas: DataFrame, hosts: DataFrame,
+                          count: Counter = count_rows) -> DataFrame:
     """Listing metrics per LGA of the listing and month."""
     rows = asof_join(_facts(fact), lgas, F.col("listing_lga_code"), "lga_code", "scraped_date",
-                     {"lga_name": "listing_neighbourhood"})
+                     {"lga_name": "listing_neighbourhood"}, small=is_small(lgas, count))
     rows = rows.withColumn("listing_neighbourhood", _or_unknown("listing_neighbourhood"))
-    return listing_metrics(rows, hosts, ["listing_neighbourhood"])
+    return listing_metrics(rows, hosts, ["listing_neighbourhood"], is_small(hosts, count))
 
 
 def property_type(fact: DataFrame, listings: DataFrame, hosts: DataFrame,
-                  stage: Stage | None = None) -> DataFrame:
+                  stage: Stage | None = None, count: Counter = count_rows) -> DataFrame:
     """Listing metrics per property type, room type, capacity and month.
 
     When the listing dimension is too big to broadcast, the facts are shuffled to it once
     and, given ``stage``, kept there for the two passes that read them.
     """
-    small = is_small(listings)
+    small = is_small(listings, count)
     rows = asof_join(
         _facts(fact).select("listing_id", "host_id", "scraped_date", "month_year", "is_active",
                             "price", "availability_30", "review_scores_rating"),
@@ -147,15 +148,17 @@ def property_type(fact: DataFrame, listings: DataFrame, hosts: DataFrame,
     rows = rows.withColumns({c: _or_unknown(c) for c in ("property_type", "room_type")})
     if stage is not None and not small:
         rows = stage(rows, "facts_by_property")
-    return listing_metrics(rows, hosts, ["property_type", "room_type", "accommodates"])
+    return listing_metrics(rows, hosts, ["property_type", "room_type", "accommodates"],
+                           is_small(hosts, count))
 
 
-def host_neighbourhood(fact: DataFrame, suburbs: DataFrame, lgas: DataFrame) -> DataFrame:
+def host_neighbourhood(fact: DataFrame, suburbs: DataFrame, lgas: DataFrame,
+                       count: Counter = count_rows) -> DataFrame:
     """Hosts and revenue per LGA of the host's suburb and month."""
     rows = asof_join(_facts(fact), suburbs, F.col("host_suburb"), "suburb_name", "scraped_date",
-                     {"lga_name": "suburb_lga"})
+                     {"lga_name": "suburb_lga"}, small=is_small(suburbs, count))
     rows = asof_join(rows, lgas, F.col("suburb_lga"), "lga_name_upper", "scraped_date",
-                     {"lga_name": "host_neighbourhood_lga"})
+                     {"lga_name": "host_neighbourhood_lga"}, small=is_small(lgas, count))
     keys = ["host_neighbourhood_lga", "month_year"]
     by_host = (
         rows.withColumn(keys[0], _or_unknown(keys[0]))

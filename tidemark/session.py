@@ -13,5 +13,7 @@ def local_session(cores: int = 8, memory: str = "8g") -> SparkSession:
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
+        # Recording a stack trace per column expression costs more than planning small queries.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )

@@ -61,13 +61,23 @@ class Scratch:
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    """The tables of one finished build: the last one, unless ``build`` says otherwise.
+
+    A build never changes, so its tables and their row counts are looked up once; open the
+    folder again to see a later build.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, build: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        done = self._finished()
+        self.builds = done if build is None else [b for b in done if b <= build]
+        self._tables: dict[str, DataFrame] = {}
+        self._counts: dict[int, int] = {}
 
     # ---- commits ----
 
-    def builds(self) -> list[int]:
+    def _finished(self) -> list[int]:
         """Numbers of the finished builds, oldest first (one row per build ever made)."""
         try:
             log = self.spark.read.schema("build int, run_ts timestamp_ntz").parquet(
@@ -78,10 +88,13 @@ class Warehouse:
                 raise
             return []
 
+    def next_build(self) -> int:
+        return self.builds[-1] + 1 if self.builds else 1
+
     def commit(self, build: int, run_ts: datetime) -> None:
-        row = self.spark.range(1).select(
+        row = self.spark.range(1, numPartitions=1).select(
             F.lit(build).alias("build"), F.lit(str(run_ts)).cast("timestamp_ntz").alias("run_ts"))
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+        row.write.mode("append").parquet(f"{self.root}/commits")
 
     # ---- tables ----
 
@@ -98,11 +111,19 @@ class Warehouse:
         return self.spark.read.schema(df.schema).parquet(self._path(table, build))
 
     def table(self, table: str) -> DataFrame:
-        """A table of the last finished build."""
-        builds = self.builds()
-        if not builds:
+        if not self.builds:
             raise LookupError(f"no finished build in {self.root}")
-        return self.spark.read.parquet(self._path(table, builds[-1]))
+        if table not in self._tables:
+            self._tables[table] = self.spark.read.parquet(self._path(table, self.builds[-1]))
+        return self._tables[table]
+
+    def rows(self, df: DataFrame) -> int:
+        """Row count of a frame that ``table`` returned; counted once, from file footers."""
+        if not any(df is t for t in self._tables.values()):
+            return df.count()
+        if id(df) not in self._counts:
+            self._counts[id(df)] = df.count()
+        return self._counts[id(df)]
 
     # ---- snapshots ----
 
@@ -112,16 +133,17 @@ class Warehouse:
         (delta.withColumn("is_open", is_open).write.mode("overwrite").partitionBy("is_open")
          .parquet(self._path(table, build)))
 
-    def snapshot(self, table: str, builds: list[int]) -> DataFrame:
+    def snapshot(self, table: str, builds: list[int] | None = None) -> DataFrame:
         """The history after the last of ``builds``: pruned to the directories that matter."""
+        builds = builds or self.builds
         part = F.col("build")
         shown = F.when(F.col("is_open") == 1, part == builds[-1]).otherwise(part.isin(builds))
         return (self.spark.read.parquet(f"{self.root}/{table}")
                 .where(shown).drop("build", "is_open"))
 
-    def open_versions(self, table: str, builds: list[int]) -> DataFrame | None:
-        if not builds:
+    def open_versions(self, table: str) -> DataFrame | None:
+        if not self.builds:
             return None
         return (self.spark.read.parquet(f"{self.root}/{table}")
-                .where((F.col("build") == builds[-1]) & (F.col("is_open") == 1))
+                .where((F.col("build") == self.builds[-1]) & (F.col("is_open") == 1))
                 .drop("build", "is_open"))
