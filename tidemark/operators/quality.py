@@ -86,16 +86,16 @@ def _row_violations(df: DataFrame, rules: Mapping[int, Rule]) -> DataFrame:
         F.struct(F.lit(i).alias("rule_no"), F.col(f"n{i}").alias("violations")) for i in rules])))
 
 
-def _value(columns: Sequence[str]) -> Column:
-    """The checked value as text: one column as it is, several as JSON that shows NULL."""
-    if len(columns) == 1:
-        return F.col(columns[0]).cast("string")
-    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+def _value(rule: Rule) -> Column:
+    """The checked value as text; a combination as JSON, in which NULL is a value too."""
+    if rule.kind == UNIQUE_COMBINATION:
+        return F.to_json(F.struct(*rule.columns), {"ignoreNullFields": "false"})
+    return F.col(rule.columns[0]).cast("string")
 
 
 def _values(df: DataFrame, rules: Mapping[int, Rule]) -> DataFrame:
     """(rule_no, value) for every row and rule of a table, NULL left out."""
-    pairs = [F.struct(F.lit(i).alias("rule_no"), _value(r.columns).alias("value"))
+    pairs = [F.struct(F.lit(i).alias("rule_no"), _value(r).alias("value"))
              for i, r in rules.items()]
     one = pairs[0] if len(pairs) == 1 else F.explode(F.array(*pairs))
     return df.select(one.alias("pair")).select("pair.*").where("value IS NOT NULL")
