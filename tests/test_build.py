@@ -95,6 +95,29 @@ def test_an_earlier_build_can_be_opened(spark, house, root):
     assert build.table(first, "silver.host_snapshot").where("valid_to IS NOT NULL").count() == 0
 
 
+def test_regrouped_months_give_the_same_fact(spark, raw, house, tmp_path):
+    mixed = {**raw, "listings": raw["listings"].repartition(4)}
+    other = build.run_build(spark, mixed, str(tmp_path), datetime(2000, 1, 1),
+                            cutoff=adapter.CUTOFF, regroup_months=True)
+    columns = ["listing_row_id", "listing_month", "scraped_date", "is_active", "price"]
+    a, b = (build.table(w, "gold.fact_listings").select(*columns) for w in (house, other))
+    assert a.exceptAll(b).count() == 0 and a.count() == b.count()
+    files = build.table(other, "gold.fact_listings").select(
+        F.input_file_name().alias("f")).distinct().count()
+    months = a.select("listing_month").distinct().count()
+    assert files <= months + 8
+
+
+def test_a_month_filter_reads_only_its_directory(house):
+    fact = build.table(house, "gold.fact_listings")
+    day = F.lit("1996-03-01").cast("date")
+    one = fact.where(F.col("listing_month") == day)
+    assert {f.split("listing_month=")[1][:10] for f in one.inputFiles()} \
+        >= {"1996-03-01"}
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(listing_month" in plan
+
+
 def test_views(spark, house):
     names = build.register_views(house, "t_")
     assert len(names) == 22

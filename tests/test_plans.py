@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from parity.queries import QUERIES, house, silver
 from tidemark.operators import history, star
@@ -70,3 +71,38 @@ def test_only_needed_columns_are_read(static):
     schemas = re.findall(r"ReadSchema: (\S+)", plan(QUERIES["mart_host_neighbourhood"](static, SF)))
     assert any("host_suburb" in s for s in schemas)
     assert not any("number_of_reviews" in s or "review_scores" in s for s in schemas)
+
+
+def test_history_sorts_each_exchange_once(static):
+    text = plan(history.host_versions(silver(static, SF)))
+    # One sort before and one after the first exchange (both for min of a struct), and one
+    # after the second, shared by every window.
+    assert len(re.findall(r"\bSort \[", text)) == 3
+
+
+def test_hot_key_is_split_in_the_shuffled_asof_join(spark):
+    """A third of the facts on one key: adaptive execution spreads it over several tasks."""
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 300).cast("int"))
+        facts = spark.range(0, 300_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 997 + 2).alias("k"),
+            day.alias("d"), (F.col("id") % 7).alias("g"))
+        versions = spark.range(2, 1000).select(
+            F.col("id").alias("k"), (F.col("id") % 5).alias("v"),
+            F.lit("1900-01-01").cast("timestamp_ntz").alias("valid_from"),
+            F.lit(None).cast("timestamp_ntz").alias("valid_to"))
+        got = star.asof_join(facts, versions, F.col("k"), "k", "d", {"v": "v"}, small=False)
+        totals = got.groupBy("g", "v").count()
+        assert sum(r["count"] for r in totals.collect()) == 300_000
+        assert "skew=true" in plan(totals)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)

@@ -43,7 +43,11 @@ def monthly_collapse(rows: DataFrame, key: str, month: str, date: str, order: Se
         .agg(F.min(date).alias("first_date"), F.min(best).alias("best"))
     )
     if empty is not None:
-        always = F.min(F.col("best.is_gap")).over(Window.partitionBy(key))
+        # Ordered by month although a minimum needs no order: number_versions then finds
+        # the rows sorted as it wants them.
+        whole = (Window.partitionBy(key).orderBy(F.col(month).asc_nulls_last())
+                 .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        always = F.min(F.col("best.is_gap")).over(whole)
         monthly = (monthly.withColumn("always_gap", always)
                    .where(~F.col("best.is_gap") | F.col("always_gap")))
     return monthly.select(key, month, "first_date",

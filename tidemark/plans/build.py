@@ -38,19 +38,20 @@ def bronze(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 def run_build(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, run_ts: datetime, *,
               cutoff: str = RECODE_CUTOFF,
               overrides: Iterable[tuple[str, str, str]] = geography.SUBURB_OVERRIDES,
-              with_gold: bool = True) -> Warehouse:
+              with_gold: bool = True, regroup_months: bool = False) -> Warehouse:
     """Rebuild every table from the raw tables and move the snapshots on by one run.
 
     Meant to run after each monthly load: the history holds what the runs saw.  ``run_ts``
     stamps the versions of tables that have no date of their own.  ``with_gold=False``
-    stops after the snapshots, for catching up month by month.
+    stops after the snapshots, for catching up month by month.  ``regroup_months`` is for
+    raw listings that are not stored month by month (see ``Warehouse.write_monthly``).
     """
     house = Warehouse(spark, root)
     n = house.next_build()
     src = bronze(raw)
 
-    def write(table: str, df: DataFrame, **how) -> DataFrame:
-        return house.write(table, n, df, **how)
+    def write(table: str, df: DataFrame) -> DataFrame:
+        return house.write(table, n, df)
 
     clean = write("silver.listings", listings.clean_listings(src["listings"], cutoff))
     hosts = write("silver.host", history.latest_hosts(clean))
@@ -88,7 +89,7 @@ def run_build(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, run_
             "suburb_dim": write("gold.dim_suburb", star.dim_suburb(suburb_snap)),
         }
         fact = star.fact_listings(clean, **dims, stage=Scratch(spark, f"build-{n}"))
-        write("gold.fact_listings", fact, partition_by="listing_month")
+        house.write_monthly("gold.fact_listings", n, fact, "listing_month", regroup_months)
     house.commit(n, run_ts)
     return Warehouse(spark, root)
 
@@ -102,7 +103,7 @@ def mart(house: Warehouse, name: str) -> DataFrame:
     if name == "property_type":
         return marts.property_type(
             fact, house.table("gold.dim_listing"), house.table("gold.dim_host"),
-            Scratch(house.spark, "mart"), house.rows)
+            house.stage, house.rows)
     if name == "host_neighbourhood":
         return marts.host_neighbourhood(
             fact, house.table("gold.dim_suburb"), house.table("gold.dim_lga"), house.rows)

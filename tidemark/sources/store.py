@@ -74,6 +74,7 @@ class Warehouse:
         self.builds = done if build is None else [b for b in done if b <= build]
         self._tables: dict[str, DataFrame] = {}
         self._counts: dict[int, int] = {}
+        self._staged: dict[str, DataFrame] = {}
 
     # ---- commits ----
 
@@ -101,15 +102,23 @@ class Warehouse:
     def _path(self, table: str, build: int) -> str:
         return f"{self.root}/{table}/build={build}"
 
-    def write(self, table: str, build: int, df: DataFrame, partition_by: str | None = None
-              ) -> DataFrame:
+    def write(self, table: str, build: int, df: DataFrame) -> DataFrame:
         """Write one table of a build and return it as read back."""
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(partition_by)
-        writer.parquet(self._path(table, build))
+        df.write.mode("overwrite").parquet(self._path(table, build))
         return self.spark.read.schema(df.schema).parquet(self._path(table, build))
 
+    def write_monthly(self, table: str, build: int, df: DataFrame, month: str,
+                      regroup: bool) -> None:
+        """Write a table in one directory per month, so that reads of a month skip the rest.
+
+        Rows that come month by month are written as they are.  Otherwise every task would
+        write a small file into every month; ``regroup`` then shuffles months together
+        first, over several tasks when a month is large.
+        """
+        if regroup:
+            df = df.hint("rebalance", month)
+        df.write.mode("overwrite").partitionBy(month).parquet(self._path(table, build))
+
     def table(self, table: str) -> DataFrame:
         if not self.builds:
             raise LookupError(f"no finished build in {self.root}")
@@ -125,6 +134,12 @@ class Warehouse:
             self._counts[id(df)] = df.count()
         return self._counts[id(df)]
 
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """An intermediate result of reading this build, stored on first use."""
+        if name not in self._staged:
+            self._staged[name] = Scratch(self.spark, "staged")(df, name)
+        return self._staged[name]
+
     # ---- snapshots ----
 
     def write_snapshot(self, table: str, build: int, delta: DataFrame) -> None:
