@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, keys, numbers, text
+from tidemark.operators.listings import unreadable_dates
 
 OLD, NEW = date(2020, 5, 11), date(2020, 8, 1)
 
@@ -93,3 +94,12 @@ def test_ratio_rounds_halves_away_from_zero(spark, part, whole, times, want):
     df = spark.createDataFrame([(part, whole)], "p long, w long")
     got = df.select(numbers.ratio(F.col("p"), F.col("w"), times)).first()[0]
     assert got == (None if want is None else Decimal(want))
+
+
+def test_unreadable_dates_are_counted(spark, rows):
+    df = spark.createDataFrame(
+        [("05_2020", "2020-05-01", "1/2/2015"), ("5-2020", "soon", ""), (None, None, "2015"),
+         ("13_2020", "2020-02-30", "31/4/2015")],
+        "source_month string, scraped_date string, host_since string")
+    assert rows(unreadable_dates(df)) == [("host_since", 2), ("scraped_date", 2),
+                                          ("source_month", 2)]

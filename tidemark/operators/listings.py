@@ -49,3 +49,18 @@ def clean_listings(bronze: DataFrame, cutoff: str = text.RECODE_CUTOFF) -> DataF
         "number_of_reviews",
         *SCORES,
     )
+
+
+def unreadable_dates(bronze: DataFrame) -> DataFrame:
+    """Rows whose date text gave no date, per column: (column_name, unreadable).
+
+    Cleaning turns such text into NULL so that one bad row does not stop a build; this
+    says how often it did.
+    """
+    readers = {"source_month": dates.month_start, "scraped_date": dates.iso_day,
+               "host_since": dates.day_first}
+    counts = bronze.agg(*[
+        F.count_if(text.blank_to_null(F.col(c)).isNotNull() & read(F.col(c)).isNull()).alias(c)
+        for c, read in readers.items()])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("unreadable")) for c in readers])))

@@ -94,8 +94,10 @@ def run_build(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, run_
     return Warehouse(spark, root)
 
 
-def mart(house: Warehouse, name: str) -> DataFrame:
-    """One mart over a build, computed when read."""
+def mart(house: Warehouse, name: str, ordered: bool = False) -> DataFrame:
+    """One mart over a build, computed when read; ``ordered`` sorts it for display."""
+    if ordered:
+        return marts.presented(mart(house, name), name)
     fact = house.table("gold.fact_listings")
     if name == "listing_neighbourhood":
         return marts.listing_neighbourhood(
