@@ -70,18 +70,20 @@ def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def read_raw(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
+def read_raw(spark: SparkSession, name: str, path: str | None, fmt: str = "parquet",
              **options: str) -> DataFrame:
     """One raw table, from files (parquet, csv, orc, json) or any other Spark source.
 
     A listings file that does not carry ``source_month`` gets it from its file name,
-    e.g. ``05_2020.csv``.  ``fmt='table'`` reads a catalog table.
+    e.g. ``05_2020.csv``.  ``fmt='table'`` reads a catalog table; sources without a path
+    (``fmt='jdbc'``) take ``None`` and their options.
     """
     if fmt == "table":
         return typed(spark.read.table(path), RAW_TABLES[name])
     if fmt == "csv":
         options = {"header": "true", **options}
-    df = spark.read.format(fmt).options(**options).load(path)
+    reader = spark.read.format(fmt).options(**options)
+    df = reader.load() if path is None else reader.load(path)
     if name == "listings" and "source_month" not in [c.lower() for c in df.columns]:
         df = df.withColumn("source_month", F.nullif(
             F.regexp_extract(F.col("_metadata.file_name"), r"(\d{2}_\d{4})", 1), F.lit("")))
