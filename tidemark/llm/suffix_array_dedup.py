@@ -15,7 +15,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .repeats import Plan, remove_repeats
+from .repeats import Plan, merged, remove_repeats
 from .tokens import BYTE_HASH
 
 MIN_BYTES = 50
@@ -52,19 +52,29 @@ def _rest(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[int, in
     return len(data), int((end - start).sum()), b"".join(data[a:b].tobytes() for a, b in edges)
 
 
-def plan(min_bytes: int = MIN_BYTES) -> Plan:
+def _rest_of_characters(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[int, int, bytes]:
+    """The same with spans widened to whole characters."""
+    inner = np.append((data & 0xC0) == 0x80, False)
+    whole = np.flatnonzero(~inner)  # where characters start, and the end
+    start = whole[np.searchsorted(whole, start, side="right") - 1]
+    end = whole[np.searchsorted(whole, end)]
+    return _rest(data, *merged(start, end))
+
+
+def plan(min_bytes: int = MIN_BYTES, whole_characters: bool = False) -> Plan:
     return Plan(min_bytes, min(TRIGGER_BYTES, max(1, min_bytes // 2)), lambda b: BYTE_HASH[b], lambda b: b,
-                "u1", _settle(min_bytes), _rest)
+                "u1", _settle(min_bytes), _rest_of_characters if whole_characters else _rest)
 
 
-def remove_repeated_bytes(docs: DataFrame, min_bytes: int = MIN_BYTES, carry: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, min_bytes: int = MIN_BYTES, carry: tuple[str, ...] = (),
+                          whole_characters: bool = False) -> DataFrame:
     """Each row of (doc_id, text) without the bytes that an earlier document holds too.
 
     A byte goes if a string of ``min_bytes`` bytes that covers it also starts in a row with a
     smaller doc_id.  Strings never cross rows and are judged on the input.  Returns the
-    columns of :data:`repeats.KEPT` (``kept`` in bytes, which may end inside a character) and
-    those in ``carry``.  A null text counts as empty; a null doc_id has no order, so its row
+    columns of :data:`repeats.KEPT` (``kept`` in bytes, which may end inside a character unless
+    ``whole_characters`` takes the rest of such characters away too) and those in ``carry``.  A null text counts as empty; a null doc_id has no order, so its row
     stays whole; repeated rows (same doc_id) never remove each other.  Texts shorter than
     ``min_bytes`` stay; an empty table gives an empty one.
     """
-    return remove_repeats(docs, plan(min_bytes), carry)
+    return remove_repeats(docs, plan(min_bytes, whole_characters), carry)
