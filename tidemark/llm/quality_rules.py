@@ -58,9 +58,9 @@ _ORDER = np.argsort(_HASHES)
 WORD_CLASSES = len(_LISTED) + 1
 
 COUNTS = ("doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-          "n_repeat_words long, chars array<long>, commons array<long>")
+          "n_repeat_words long, n_chars long, chars array<long>, commons array<long>")
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), *(
-    (c, pa.int64()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
+    (c, pa.int64()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars")),
     ("chars", pa.list_(pa.int64())), ("commons", pa.list_(pa.int64()))])
 
 
@@ -98,7 +98,7 @@ def _count(data: np.ndarray) -> tuple:
     place = np.minimum(np.searchsorted(_HASHES, lower, sorter=_ORDER), len(_LISTED) - 1)
     listed = np.where(_HASHES[_ORDER[place]] == lower, _ORDER[place], len(_LISTED))
     return (len(bounds[0]), letters, int(bytes_held[list(SYMBOLS)].sum()), duplicate_lines(data),
-            repeated_words(word_hashes(data, bounds)), chars, np.bincount(listed, minlength=WORD_CLASSES))
+            repeated_words(word_hashes(data, bounds)), int(chars.sum()), chars, np.bincount(listed, minlength=WORD_CLASSES))
 
 
 def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,15 +111,13 @@ def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _SCHEMA.types, strict=True)], schema=_SCHEMA)
 
 
-def _distance(counts: Column, reference: Column) -> Column:
-    """Jensen-Shannon distance of two histograms, 0 (alike) to 1; 0 if either is empty."""
-    total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
-    share = lambda a: F.transform(a, lambda x: x / F.greatest(total(a), F.lit(1.0)))
+def _distance(counts: Column, total: Column, shares: Column) -> Column:
+    """Jensen-Shannon distance of counts with this total from a reference's shares."""
     part = lambda p, m: F.when(p > 0, p * F.log2(p / m)).otherwise(0.0)
-    each = F.zip_with(share(counts), share(reference),
+    each = F.zip_with(F.transform(counts, lambda x: x / total), shares,
                       lambda p, q: (part(p, (p + q) / 2) + part(q, (p + q) / 2)) / 2)
-    empty = (total(counts) == 0) | (total(reference) == 0)
-    return F.when(empty, 0.0).otherwise(F.sqrt(F.greatest(total(each), F.lit(0.0))))
+    found = F.sqrt(F.greatest(F.aggregate(each, F.lit(0.0), lambda x, y: x + y), F.lit(0.0)))
+    return F.coalesce(F.when(total > 0, found), F.lit(0.0))
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -136,18 +134,22 @@ def judge(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), "text")
-    counted = Scratch(spark, "quality")(rows.mapInArrow(_run, COUNTS), "counts")
+    scratch = Scratch(spark, "quality")
+    counted = scratch(rows.mapInArrow(_run, COUNTS), "counts")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    sums = lambda c, n: F.array(*[F.sum(F.col(c)[i].cast("double")) for i in range(n)])
-    reference = counted.where(~failed).groupBy("lang").agg(
-        sums("chars", CHAR_CLASSES).alias("lang_chars"), sums("commons", WORD_CLASSES).alias("lang_commons"))
+    sums = lambda c, n: F.array(*[F.sum(F.col(c)[i].cast("double")) for i in range(n)]).alias(c)
+    summed = counted.where(~failed).groupBy("lang").agg(
+        sums("chars", CHAR_CLASSES), sums("commons", WORD_CLASSES),
+        F.sum(F.col("n_chars").cast("double")).alias("all_chars"), F.sum(F.col("n_words").cast("double")).alias("all_words"))
+    # Stored, so that Spark knows how small it is before it plans the join.
+    reference = scratch(summed.select(
+        "lang", F.transform("chars", lambda x: x / F.col("all_chars")).alias("lang_chars"),
+        F.transform("commons", lambda x: x / F.col("all_words")).alias("lang_commons")), "reference")
     met = counted.join(reference, "lang", "left")
-    doubles = lambda c: F.transform(c, lambda x: x.cast("double"))
-    none = F.array().cast("array<double>")
-    of = lambda c: F.coalesce(_distance(doubles(c), F.coalesce(F.col(f"lang_{c}"), none)), F.lit(0.0))
     judged = (met.withColumn("base_failed", failed)
-              .withColumn("char_distance", of("chars")).withColumn("word_distance", of("commons")))
+              .withColumn("char_distance", _distance(F.col("chars"), F.col("n_chars"), F.col("lang_chars")))
+              .withColumn("word_distance", _distance(F.col("commons"), F.col("n_words"), F.col("lang_commons"))))
     far = (F.col("n_words") >= GUARD_WORDS) & (
         (F.col("char_distance") > MOST_CHARS) | (F.col("word_distance") > MOST_WORDS))
     return judged.withColumn("kept", ~F.col("base_failed") & ~far).drop(
-        "chars", "commons", "lang_chars", "lang_commons")
+        "n_chars", "chars", "commons", "lang_chars", "lang_commons")
