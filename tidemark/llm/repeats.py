@@ -59,9 +59,10 @@ class Plan:
 def shards(spark: SparkSession, docs: DataFrame) -> int:
     """Shards of a few MB of text each, by Spark's estimate of the input's size."""
     size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    least = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Spark has no estimate for rows that Python made, and says 2**63.
-    return max(least, 2 * size // SHARD_BYTES if size < 1 << 58 else 0) | 1
+    if size >= 1 << 58:
+        return 2 * int(spark.conf.get("spark.sql.shuffle.partitions")) | 1
+    return max(4, size // SHARD_BYTES) | 1
 
 
 def phrases(tokens: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -125,12 +126,12 @@ def _unpack(table: pa.Table, kind: int, dtype: np.dtype) -> tuple[np.ndarray, np
     for k, i, m, d in zip(table["kind"].to_pylist(), table["ids"], table["marks"], table["data"], strict=True):
         if k == kind:
             ids.append(np.frombuffer(i.as_buffer(), dtype=np.int64))
-            marks.append(np.frombuffer(m.as_buffer(), dtype=np.int64))
+            marks.append(np.frombuffer(m.as_buffer(), dtype=np.int32))
             data.append(np.frombuffer(d.as_buffer(), dtype=dtype).copy())
             data[-1]["row"] += base
             base += len(ids[-1])
     if not data:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, dtype)
+        return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, dtype)
     ids, marks, data = np.concatenate(ids), np.concatenate(marks), np.concatenate(data)
     order = np.lexsort((marks, ids))
     new = np.concatenate([[True], (np.diff(ids[order]) != 0) | (np.diff(marks[order]) != 0)])
@@ -155,7 +156,7 @@ def _equal_runs(*keys: np.ndarray) -> np.ndarray:
 def _ask(plan: Plan, n: int) -> Callable:
     """Step 1 for the batches of a task."""
     def flush(held: list, ids: list, marks: list) -> Iterator[pa.RecordBatch]:
-        ids, marks = np.array(ids, np.int64), np.array(marks, np.int64)
+        ids, marks = np.array(ids, np.int64), np.array(marks, np.int32)
         if not held:
             return
         by_id = np.lexsort((marks, ids))
@@ -272,7 +273,7 @@ def _settle(plan: Plan, n: int) -> Callable:
             head = np.frombuffer(raw, ASKED, count=k).copy()
             head["row"] += base
             ids.append(np.frombuffer(i.as_py(), np.int64))
-            marks.append(np.frombuffer(m.as_py(), np.int64))
+            marks.append(np.frombuffer(m.as_py(), np.int32))
             base += len(ids[-1])
             heads.append(head)
             values.append(np.frombuffer(raw, plan.kind, offset=k * ASKED.itemsize))
@@ -314,7 +315,7 @@ def remove_repeats(docs: DataFrame, plan: Plan, carry: tuple[str, ...] = ()) ->
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"),
                        *[docs[c].alias(a) for c, a in zip(carry, named, strict=True)])
-    base = base.withColumn("mark", F.xxhash64("text"))
+    base = base.withColumn("mark", F.hash("text"))
     places = (base.select("doc_id", "mark", "text").mapInArrow(_ask(plan, n), PACKED)
               .groupBy("shard").applyInArrow(_compare(n), PACKED))
     shard = F.pmod(F.coalesce("doc_id", "mark"), F.lit(n)).cast("int")
