@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.sources.store import Scratch
 
 from .components import components
+from .local_groups import LocalGroups
 from .tokens import U, mix
 
 COSINE = 0.93
@@ -80,24 +81,6 @@ def _describe(pivots: dict[int, np.ndarray]):
     return run
 
 
-class _Groups:
-    """Connected components of a few thousand places, joined many pairs at a time."""
-
-    def __init__(self, n: int):
-        self.low = np.arange(n)
-
-    def join(self, i: np.ndarray, j: np.ndarray) -> None:
-        while True:
-            a, b = self.low[i], self.low[j]
-            apart = a != b
-            if not apart.any():
-                return
-            i, j, a, b = i[apart], j[apart], a[apart], b[apart]
-            np.minimum.at(self.low, np.maximum(a, b), np.minimum(a, b))
-            while (self.low != self.low[self.low]).any():
-                self.low = self.low[self.low]
-
-
 _FOUND = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("to", pa.int64())])
 
 
@@ -112,7 +95,7 @@ def _verify(cosine: float):
         held = [np.frombuffer(x.as_buffer()) for x in table["held"]]
         held, near = [held[i] for i in order], [table["nearest"][i].as_py() for i in order.tolist()]
         sizes = np.array([len(v) for v in held])
-        links, groups = np.zeros(len(node), np.int64), _Groups(len(node))
+        links, groups = np.zeros(len(node), np.int64), LocalGroups(len(node))
         for size in np.unique(sizes):  # vectors of different lengths have no cosine
             for rows, others in _tiles(np.flatnonzero(sizes == size), block, a, b):
                 x, y = np.stack([held[i] for i in rows]), np.stack([held[i] for i in others])

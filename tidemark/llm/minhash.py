@@ -5,10 +5,10 @@ Bands of minima bring similar documents together, four bits of each minimum veri
 pair, the full sets confirm it, and the links' connected components are the groups.
 
 Documents with equal sets are one class before any banding, so thousands of exact copies
-cost one row.  In a band's bucket only pairs with a *hub* are looked at, one hub first and
-then four times as many each round, and only buckets that still hold several components go
-on.  So a bucket of thousands of near copies ends after a few hubs, every pair that could
-join two components is looked at, and no task holds a bucket.
+cost one row.  The members of a band's bucket first meet one *hub* of the bucket and then
+four more; a bucket whose members are then in one component is done.  What is left, in the
+main the few members of large buckets that nothing links with, is compared across components
+in blocks, with the sets at hand: a task gives out links alone, no pairs.
 """
 
 from __future__ import annotations
@@ -24,14 +24,27 @@ from pyspark.sql import functions as F
 from tidemark.sources.store import Scratch
 
 from .components import components
+from .local_groups import LocalGroups
 from .tokens import U, lower_ascii, mix, powers, texts_of, word_hashes
 
 BANDS, ROWS = 24, 5
 MINIMA = 128
 NIBBLES = 16  # minima in one long of the signature
-#: A pair whose signatures differ in more nibbles is dropped: at similarity 0.8 the mean is
-#: 24 and the deviation 4.4, so one link in about 100,000 could be lost here.
-MOST_DIFFERENT = 43
+#: Hubs of a bucket that its members meet first, one round each.
+HUBS = (1, 4)
+BLOCK = 1024  # members of a bucket that one task compares with as many others
+
+
+def most_different(percent: int) -> int:
+    """Nibbles in which signatures may differ.
+
+    A link at the threshold differs in ``mean`` nibbles, give or take ``deviation``; one in
+    about 100,000 such links differs in more than this.
+    """
+    apart = (100 - percent) / 100 * 15 / 16
+    mean, deviation = MINIMA * apart, (MINIMA * apart * (1 - apart)) ** 0.5
+    return int(mean + 4.3 * deviation) + 1
+
 
 SKETCH = ("doc_id long, n_shingles long, set_1 long, set_2 long, signature array<long>, bands array<long>")
 SKETCH_ARROW = pa.schema([
@@ -113,7 +126,7 @@ def _confirm(percent: int):
             good = []
             for x, y in zip(batch.column("held_a"), batch.column("held_b"), strict=True):
                 p, q = (np.frombuffer(v.as_buffer(), dtype=U) for v in (x, y))
-                common = len(np.intersect1d(p, q, assume_unique=True))
+                common = _common(p, q)
                 good.append(100 * common >= percent * (len(p) + len(q) - common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")],
                                              schema=schema).filter(pa.array(good, pa.bool_()))
@@ -131,56 +144,115 @@ def _different(a: Column, b: Column) -> Column:
     return total
 
 
-def _links(docs: DataFrame, members: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
+def _common(p: np.ndarray, q: np.ndarray) -> int:
+    """Shared numbers of two sorted sets."""
+    if len(p) > len(q):
+        p, q = q, p
+    return int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum()) if len(p) else 0
+
+
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _settle(percent: int):
+    """Links between the components of one pair of blocks of a bucket."""
+    most = most_different(percent)
+    ones = U(0x1111111111111111)
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        a, b = key[1].as_py(), key[2].as_py()
+        node, block = table["node"].to_numpy(), table["block"].to_numpy()
+        band = table["band"][0].as_py()
+        signature = np.array(table["signature"].to_pylist(), np.int64).view(U)
+        bands = np.array(table["bands"].to_pylist(), np.int64)
+        held = [np.frombuffer(x.as_buffer(), U) for x in table["held"]]
+        _, group = np.unique(table["component"].to_numpy(), return_inverse=True)
+        groups = LocalGroups(int(group.max()) + 1)
+        left, right = np.flatnonzero(block == a), np.flatnonzero(block == b)
+        found = []
+        for i in range(0, len(left), 256):
+            for j in range(i if a == b else 0, len(right), 256):
+                x, y = left[i: i + 256], right[j: j + 256]
+                apart = groups.low[group[x]][:, None] != groups.low[group[y]][None]
+                if not apart.any():
+                    continue
+                bits = signature[x][:, None] ^ signature[y][None]
+                bits |= bits >> U(2)
+                bits |= bits >> U(1)
+                apart &= np.bitwise_count(bits & ones).sum(axis=2) <= most
+                # Each pair is looked at in the first bucket that it shares.
+                apart &= (bands[x][:, None] == bands[y][None]).argmax(axis=2) == band
+                for p, q in zip(*np.nonzero(apart), strict=True):
+                    p, q = int(x[p]), int(y[q])
+                    if groups.low[group[p]] == groups.low[group[q]]:
+                        continue
+                    common = _common(held[p], held[q])
+                    if 100 * common >= percent * (len(held[p]) + len(held[q]) - common):
+                        found.append((node[p], node[q]))
+                        groups.join(group[[p]], group[[q]])
+        return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)]
+                                    if found else [pa.array([], pa.int64())] * 2, schema=_LINKS)
+    return run
+
+
+def _links(docs: DataFrame, placed: DataFrame, firsts: DataFrame, words: int, percent: int,
+           scratch: Scratch) -> DataFrame:
     """Links (a, b) that join everything that any pair of a bucket's members joins.
 
-    members: (bucket, band, node, signature, bands) of the buckets with several nodes.
+    placed: (bucket, band, node) of the buckets with several nodes; firsts: (node, signature,
+    bands).
     """
     spark = docs.sparkSession
-    wanted = members.select("node").distinct()
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
+    wanted = placed.select("node").distinct()
     sets = (docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(wanted, "node", "left_semi")
             .mapInArrow(_sets(words), "node long, held binary")
             .repartition(n, "node").persist(StorageLevel.MEMORY_AND_DISK))
+    told = scratch(firsts.join(wanted, "node", "left_semi"), "told")
     links = None
-    members = members.withColumn("component", F.col("node"))
-    hubs = 1
-    while True:
-        order = F.struct(F.xxhash64("node", "bucket"), "node")
+    members = placed.withColumn("component", F.col("node"))
+    held = lambda c: sets.select(F.col("node").alias(c), F.col("held").alias(f"held_{c}"))
+    side = lambda c: told.select(F.col("node").alias(c), F.col("signature").alias(f"signature_{c}"))
+    order = F.struct(F.xxhash64("node", "bucket"), F.col("node"))
+    for hubs in HUBS:
         if hubs == 1:
-            hub = members.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), F.struct(
-                "node", "component", "signature", "bands").alias("hub")))["hub"].alias("hub"))
+            hub = members.groupBy("bucket").agg(
+                F.min(F.struct(order, F.struct("node", "component").alias("hub")))["hub"].alias("hub"))
         else:
             place = F.row_number().over(Window.partitionBy("bucket").orderBy(order))
             hub = (members.withColumn("place", place).where(F.col("place") <= hubs)
-                   .select("bucket", F.struct("node", "component", "signature", "bands").alias("hub")))
+                   .select("bucket", F.struct("node", "component").alias("hub")))
         hub = scratch(hub, "hubs")
-        rest = members.alias("m")
-        first = F.array_position(F.zip_with("m.bands", "hub.bands", lambda x, y: x == y), True) - 1
-        met = rest.join(hub.alias("h"), [
-            F.col("m.bucket") == F.col("h.bucket"),
-            F.col("m.component") != F.col("hub.component"),
-            _different(F.col("m.signature"), F.col("hub.signature")) <= MOST_DIFFERENT,
-            first == F.col("m.band")])
-        pairs = met.select(F.least("m.node", "hub.node").alias("a"), F.greatest("m.node", "hub.node").alias("b"))
-        pairs = pairs.distinct()
-        held = lambda c: sets.select(F.col("node").alias(c), F.col("held").alias(f"held_{c}"))
-        found = scratch(pairs.join(held("a"), "a").join(held("b"), "b")
-                        .select("a", "b", "held_a", "held_b")
+        met = members.alias("m").join(hub.alias("h"), [
+            F.col("m.bucket") == F.col("h.bucket"), F.col("m.component") != F.col("hub.component")])
+        pairs = met.select(F.least("m.node", "hub.node").alias("a"),
+                           F.greatest("m.node", "hub.node").alias("b")).distinct()
+        alike = (pairs.join(side("a"), "a").join(side("b"), "b")
+                 .where(_different(F.col("signature_a"), F.col("signature_b")) <= most_different(percent))
+                 .select("a", "b"))
+        found = scratch(alike.join(held("a"), "a").join(held("b"), "b").select("a", "b", "held_a", "held_b")
                         .mapInArrow(_confirm(percent), "a long, b long").distinct(), "links")
         links = found if links is None else links.unionByName(found)
         groups = scratch(components(links), "groups")
         used = hub.select("bucket", F.col("hub.node").alias("node"))
-        members = (members.drop("component").join(used, ["bucket", "node"], "left_anti")
-                   .join(groups.withColumnRenamed("component", "found"), "node", "left")
-                   .withColumn("component", F.coalesce("found", "node")).drop("found"))
-        members = scratch(members, "left")
-        mixed = scratch(members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-                        .where("x < y").select("bucket"), "mixed")
-        members = scratch(members.join(mixed, "bucket", "left_semi"), "members")
+        left = scratch(members.drop("component").join(used, ["bucket", "node"], "left_anti")
+                       .join(groups, "node", "left")
+                       .select("bucket", "band", "node", F.coalesce("component", "node").alias("component")), "left")
+        mixed = scratch(left.groupBy("bucket").agg(
+            F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"))
+            .where("x < y").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "mixed")
+        members = scratch(left.join(mixed, "bucket", "left_semi"), "members")
         if members.isEmpty():
             break
-        hubs *= 4
+    else:
+        dealt = (members.join(mixed, "bucket")
+                 .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                 .withColumn("a", F.least("block", "other")).withColumn("b", F.greatest("block", "other"))
+                 .drop("blocks", "other"))
+        late = (dealt.join(told, "node").join(sets, "node").groupBy("bucket", "a", "b")
+                .applyInArrow(_settle(percent), "a long, b long"))
+        links = links.unionByName(scratch(late.distinct(), "late"))
     sets.unpersist()
     return links
 
@@ -213,10 +285,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     several = scratch(banded.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y"))
                       .where("x < y").select("bucket"), "buckets")
     placed = scratch(banded.join(several, "bucket", "left_semi"), "placed")
-    members = scratch(placed.join(firsts, "node"), "members")
     links = copies
-    if not members.isEmpty():
-        links = links.unionByName(_links(base, members, words, percent, scratch))
+    if not placed.isEmpty():
+        links = links.unionByName(_links(base, placed, firsts, words, percent, scratch))
     groups = components(links).withColumnRenamed("node", "doc_id")
     return (sketch.select("doc_id", "n_shingles").join(groups, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
