@@ -11,7 +11,7 @@ from tests.llm.test_line_dedup import brute as lines_left
 from tests.llm.test_minhash import groups, shingled
 from tidemark.sources.store import Scratch
 
-DIR = "/root/testdata/sf0.001"
+DIR = "/root/testdata/sf0.01"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 

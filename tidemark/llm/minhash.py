@@ -279,8 +279,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     copies = joined.where("first < doc_id").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
     copies = scratch(copies.distinct(), "copies")
     # Rows of one doc_id with the same set count once; other documents' copies are left out.
-    firsts = (joined.where("first is null or first = doc_id")
-              .select(F.col("doc_id").alias("node"), "signature", "bands"))
+    firsts = scratch(joined.where("first is null or first = doc_id")
+                     .select(F.col("doc_id").alias("node"), "signature", "bands"), "firsts")
     banded = firsts.select("node", F.posexplode("bands").alias("band", "bucket"))
     several = scratch(banded.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y"))
                       .where("x < y").select("bucket"), "buckets")

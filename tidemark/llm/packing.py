@@ -26,7 +26,7 @@ CAPACITY = 4096
 END_ID = 1
 #: Words kept by a Python worker with their packed ids (about 200 bytes each), per generation
 #: (there are two), and the longest of them.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 300_000
 KEPT_CHARS = 64
 
 
@@ -189,6 +189,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _PIECES_ARROW.types, strict=True)],
                     schema=_PIECES_ARROW)
+        packed_ids(tokenizer).older.clear()  # a worker keeps one generation between tasks
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .tokens import U, prefix_sums, spans_hash, texts_of
 
 SHARD_BYTES = 8 << 20
-FLUSH = 1_500_000  # phrases held by a map task before they are packed
+FLUSH = 1_000_000  # phrases held by a map task before they are packed
 
 PLACE = np.dtype([("row", "<u4"), ("start", "<u4"), ("count", "<u1")])
 ASKED = np.dtype([("gram", "<u8"), ("phrase", "<u4"), ("row", "<u4"), ("start", "<u4"), ("count", "<u1")])
