@@ -103,3 +103,20 @@ def test_unreadable_dates_are_counted(spark, rows):
         "source_month string, scraped_date string, host_since string")
     assert rows(unreadable_dates(df)) == [("host_since", 2), ("scraped_date", 2),
                                           ("source_month", 2)]
+
+
+def test_ratio_keeps_a_divisor_with_decimals(spark):
+    from tidemark.functions.numbers import ratio
+
+    df = spark.sql("SELECT 10.50BD AS a, 1.50BD AS b, 0.40BD AS c, 0BD AS z")
+    row = df.select(ratio(F.col("a"), F.col("b")), ratio(F.col("a"), F.col("c")), ratio(F.col("a"), F.col("z"))).first()
+    assert [None if v is None else float(v) for v in row] == [7.0, 26.25, None]
+
+
+def test_dates_with_too_many_parts_are_unreadable(spark):
+    from tidemark.functions import dates
+
+    df = spark.sql("SELECT '1/2/3/2012' AS d, '05_xx_2020' AS m, '1/2/2012' AS ok, '05_2020' AS fine")
+    row = df.select(dates.day_first(F.col("d")), dates.month_start(F.col("m")),
+                    dates.day_first(F.col("ok")), dates.month_start(F.col("fine"))).first()
+    assert [str(v) for v in row] == ["None", "None", "2012-02-01", "2020-05-01"]

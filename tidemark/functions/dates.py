@@ -22,8 +22,9 @@ def _day(year: Column, month: Column, day: Column) -> Column:
 
 def month_start(month_text: Column) -> Column:
     """'MM_YYYY' to the first day of that month."""
-    return _day(F.substring_index(month_text, "_", -1), F.substring_index(month_text, "_", 1),
-                F.lit("01"))
+    day = _day(F.substring_index(month_text, "_", -1), F.substring_index(month_text, "_", 1),
+               F.lit("01"))
+    return F.when(F.size(F.split(month_text, "_")) == 2, day)
 
 
 def iso_day(text: Column) -> Column:
@@ -33,7 +34,8 @@ def iso_day(text: Column) -> Column:
 def day_first(text: Column) -> Column:
     """Day-first text, with or without leading zeros."""
     month = F.substring_index(F.substring_index(text, "/", 2), "/", -1)
-    return _day(F.substring_index(text, "/", -1), month, F.substring_index(text, "/", 1))
+    day = _day(F.substring_index(text, "/", -1), month, F.substring_index(text, "/", 1))
+    return F.when(F.size(F.split(text, "/")) == 3, day)
 
 
 def clamp_to_month(day: Column, month: Column) -> Column:
