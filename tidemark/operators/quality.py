@@ -89,7 +89,9 @@ def _row_violations(df: DataFrame, rules: Mapping[int, Rule]) -> DataFrame:
 def _value(rule: Rule) -> Column:
     """The checked value as text; a combination as JSON, in which NULL is a value too."""
     if rule.kind == UNIQUE_COMBINATION:
-        return F.to_json(F.struct(*rule.columns), {"ignoreNullFields": "false"})
+        # As text first: JSON would cut timestamps to milliseconds.
+        parts = [F.col(c).cast("string").alias(c) for c in rule.columns]
+        return F.to_json(F.struct(*parts), {"ignoreNullFields": "false"})
     return F.col(rule.columns[0]).cast("string")
 
 
