@@ -173,7 +173,7 @@ def key_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = build.table(h, "silver.listings").select(
         "listing_row_id", "host_id", F.col("host_neighbourhood").alias("suburb_name"))
     early = h.snapshot("silver.host_snapshot", h.builds[:1])
-    rows = star.resolve_key(rows, "host_id", early, 0, Scratch(spark, "keys"))
+    rows = star.resolve_key(rows, "host_id", early, 0)
     rows = star.resolve_key(rows, "suburb_name", build.table(h, "gold.dim_suburb"), "UNKNOWN")
     return rows.withColumnRenamed("suburb_name", "host_suburb")
 
@@ -186,7 +186,7 @@ def asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = clean.select("listing_row_id", "host_id", "scraped_date")
     return star.asof_join(rows, versions, F.col("host_id"), "host_id", "scraped_date", {
         "host_is_superhost": "host_is_superhost", "host_neighbourhood": "version_neighbourhood",
-        "valid_from": "version_from"}, small=star.is_small(versions))
+        "valid_from": "version_from"})
 
 
 def fact_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,7 +194,7 @@ def fact_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.fact_listings(
         build.table(h, "silver.listings"), build.table(h, "gold.dim_listing"),
         build.table(h, "gold.dim_host"), build.table(h, "gold.dim_lga"),
-        build.table(h, "gold.dim_suburb"), Scratch(spark, "fact"))
+        build.table(h, "gold.dim_suburb"))
 
 
 # ---- marts and measures -------------------------------------------------------------

@@ -105,9 +105,17 @@ def listing_mart_by_hand(t, group_of):
     return sorted(out, key=lambda r: [str(x) for x in r])
 
 
-@pytest.mark.parametrize("limit", [1000, 0])
-def test_listing_neighbourhood(star_tables, rows, monkeypatch, limit):
-    monkeypatch.setattr(star, "BROADCAST_ROWS", limit)
+@pytest.fixture(params=["10MB", "-1"], ids=["broadcast", "shuffled"])
+def threshold(spark, request):
+    """Every mart is checked with dimensions that Spark broadcasts and with none."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, request.param)
+    yield request.param
+    spark.conf.set(name, before)
+
+
+def test_listing_neighbourhood(star_tables, rows, threshold):
     t = star_tables
 
     def group(f):
@@ -118,30 +126,19 @@ def test_listing_neighbourhood(star_tables, rows, monkeypatch, limit):
     assert rows(got) == listing_mart_by_hand(t, group)
 
 
-@pytest.mark.parametrize("limit", [1000, 0])
-def test_property_type(spark, star_tables, rows, monkeypatch, tmp_path, limit):
-    monkeypatch.setattr(star, "BROADCAST_ROWS", limit)
+def test_property_type(star_tables, rows, threshold):
     t = star_tables
-    staged = []
-
-    def stage(df, name):
-        staged.append(name)
-        df.write.parquet(f"{tmp_path}/{name}")
-        return spark.read.parquet(f"{tmp_path}/{name}")
 
     def group(f):
         v = at(t["listing_rows"], f[1], f[5])
         return ("Unknown", "Unknown", None) if v is None else (
             v[1] or "Unknown", v[2] or "Unknown", v[3])
 
-    got = marts.property_type(t["fact"], t["listings"], t["hosts"], stage)
+    got = marts.property_type(t["fact"], t["listings"], t["hosts"])
     assert rows(got) == listing_mart_by_hand(t, group)
-    assert staged == ([] if limit else ["facts_by_property"])
 
 
-@pytest.mark.parametrize("limit", [1000, 0])
-def test_host_neighbourhood(star_tables, rows, monkeypatch, limit):
-    monkeypatch.setattr(star, "BROADCAST_ROWS", limit)
+def test_host_neighbourhood(star_tables, rows, threshold):
     t = star_tables
     groups = defaultdict(list)
     for f in t["facts"]:

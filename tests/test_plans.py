@@ -1,12 +1,16 @@
 """Shapes of the physical plans that matter at scale."""
 
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from parity.queries import QUERIES, house, silver
-from tidemark.operators import history, star
+from tidemark.operators import history, quality, star
+from tidemark.plans import build
+from tidemark.plans.rules import MART_RULES
+from tidemark.sources.store import Scratch, shared_folder
 
 SF = "/root/testdata/sf0.001"
 
@@ -48,18 +52,44 @@ def test_host_history_shuffles_twice(static):
     assert exchanges(plan(history.host_history(silver(static, SF)))) == 2
 
 
-def test_fact_needs_no_shuffle_of_listing_rows(static, monkeypatch):
-    """Listings and hosts too many to broadcast: their keys are resolved without a join."""
-    counted = {"n": 0}
+def test_listing_history_shuffles_once(static):
+    for operator in (history.listing_versions, history.latest_listings, history.listing_history):
+        assert exchanges(plan(operator(silver(static, SF)))) == 1
 
-    def small(df, count=None):
-        counted["n"] += 1
-        return counted["n"] > 2  # the first two members are the listings and the hosts
 
-    monkeypatch.setattr(star, "is_small", small)
-    text = plan(QUERIES["fact_listings"](static, SF))
+def test_fact_of_a_build_needs_no_shuffle_of_listing_rows(static):
+    """A build joins the few absent keys, whatever the size of the listing dimension."""
+    h = house(static, SF)
+    tables = [build.table(h, f"gold.{t}") for t in ("dim_listing", "dim_host", "dim_lga", "dim_suburb")]
+    fact = star.fact_listings(build.table(h, "silver.listings"), *tables,
+                              stage=Scratch(static, "absent"))
+    text = plan(fact)
     assert "SortMergeJoin" not in text
-    assert text.count("BroadcastHashJoin") == 2  # suburb and LGA
+    assert exchanges(text) == len(re.findall(r"Exchange hashpartitioning\(_member", text)) == 1
+    assert fact.count() == build.table(h, "gold.fact_listings").count()
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_marts_and_views_run_no_job_and_write_nothing(spark, threshold):
+    """With broadcasts or without: making a mart or a view only builds a plan."""
+    h = house(spark, SF)
+    for name in build.TABLES:
+        h.table(name)  # finds the files; from here on nothing may run
+    sc, folder = spark.sparkContext, Path(shared_folder(spark))
+    before, files = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), set(folder.rglob("*"))
+    group = f"lazy{threshold}"
+    sc.setJobGroup(group, group)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for name in build.MARTS:
+            build.table(h, name)
+        quality.dq_report({m: build.table(h, m) for m in build.MARTS}, MART_RULES)
+        assert not sc.statusTracker().getJobIdsForGroup(group)
+        build.register_views(h, f"lazy_{threshold.strip('-')}_")
+        assert set(folder.rglob("*")) == files
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        sc.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_marts_do_not_expand_rows_per_distinct_count(static):
@@ -99,7 +129,7 @@ def test_hot_key_is_split_in_the_shuffled_asof_join(spark):
             F.col("id").alias("k"), (F.col("id") % 5).alias("v"),
             F.lit("1900-01-01").cast("timestamp_ntz").alias("valid_from"),
             F.lit(None).cast("timestamp_ntz").alias("valid_to"))
-        got = star.asof_join(facts, versions, F.col("k"), "k", "d", {"v": "v"}, small=False)
+        got = star.asof_join(facts, versions, F.col("k"), "k", "d", {"v": "v"})
         totals = got.groupBy("g", "v").count()
         assert sum(r["count"] for r in totals.collect()) == 300_000
         assert "skew=true" in plan(totals)

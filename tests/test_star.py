@@ -33,8 +33,7 @@ def test_unknown_host_has_typed_nulls(spark):
     assert tuple(dim.first()) == (0, "Unknown", None, None, "UNKNOWN", FOREVER, None)
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_asof_join_bounds(spark, rows, small):
+def test_asof_join_bounds(spark, rows):
     versions = spark.createDataFrame(
         [(1, "a", datetime(2020, 1, 1), datetime(2020, 2, 1)),
          (1, "b", datetime(2020, 2, 1), None)],
@@ -43,7 +42,7 @@ def test_asof_join_bounds(spark, rows, small):
         [(1, date(2019, 12, 31)), (1, date(2020, 1, 1)), (1, date(2020, 1, 31)),
          (1, date(2020, 2, 1)), (1, None), (2, date(2020, 1, 5)), (None, date(2020, 1, 5))],
         "k long, d date")
-    got = star.asof_join(facts, versions, F.col("k"), "k", "d", {"v": "found"}, small=small)
+    got = star.asof_join(facts, versions, F.col("k"), "k", "d", {"v": "found"})
     assert [(str(d), f) for _, d, f in rows(got, "k", "d", "found")] == [
         ("2019-12-31", None), ("2020-01-01", "a"), ("2020-01-31", "a"), ("2020-02-01", "b"),
         ("None", None), ("2020-01-05", None), ("2020-01-05", None)]
@@ -54,12 +53,15 @@ def test_asof_join_bounds(spark, rows, small):
     ([1, 2, 2], [1, 2, 2]),
     ([None, 1], [0, 1]),
 ])
-@pytest.mark.parametrize("limit", [100, 2, 0])
-def test_resolve_key_in_every_size_class(spark, monkeypatch, keys, want, limit):
-    monkeypatch.setattr(star, "BROADCAST_ROWS", limit)
+@pytest.mark.parametrize("staged", [False, True])
+def test_resolve_key_lazy_and_staged(spark, tmp_path, keys, want, staged):
+    def stage(df, name):
+        df.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{tmp_path}/{name}")
+
     facts = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k long")
     members = spark.createDataFrame([(1,), (1,), (2,), (3,)], "k long")
-    got = star.resolve_key(facts, "k", members, 0)
+    got = star.resolve_key(facts, "k", members, 0, stage if staged else None)
     assert sorted(r.k for r in got.collect()) == want
     assert got.columns == ["i", "k"]
 

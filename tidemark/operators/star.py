@@ -12,10 +12,6 @@ from ..functions.text import upper_name
 from ..sources.raw import SCORES
 from .history import HOST_ATTRIBUTES, LISTING_ATTRIBUTES
 
-# A side is broadcast only after counting that it has at most this many rows; what is sent
-# is a key, two bounds and a few short attributes, some 100 bytes a row.
-BROADCAST_ROWS = 200_000
-
 # The Unknown member of each dimension.
 UNKNOWN_HOST = {"host_id": 0, "host_name": "Unknown", "host_neighbourhood": "UNKNOWN"}
 UNKNOWN_LISTING = {"listing_id": 0, "property_type": "Unknown", "room_type": "Unknown",
@@ -24,19 +20,6 @@ UNKNOWN_LGA = {"lga_code": "0", "lga_name": "Unknown", "lga_name_upper": "UNKNOW
 UNKNOWN_SUBURB = {"suburb_name": "UNKNOWN", "lga_name": "UNKNOWN"}
 
 
-Counter = Callable[[DataFrame], int]
-
-
-def count_rows(df: DataFrame) -> int:
-    """For a stored table this reads file footers only."""
-    return df.count()
-
-
-def is_small(df: DataFrame, count: Counter = count_rows) -> bool:
-    """Whether ``df`` may be broadcast."""
-    return count(df) <= BROADCAST_ROWS
-
-
 # ---- dimensions ---------------------------------------------------------------------
 
 
@@ -83,56 +66,51 @@ def dim_suburb(snapshot: DataFrame) -> DataFrame:
 
 
 def asof_join(facts: DataFrame, versions: DataFrame, fact_key: Column, version_key: str,
-              at: str, carry: dict[str, str], small: bool) -> DataFrame:
+              at: str, carry: dict[str, str]) -> DataFrame:
     """``facts`` with columns of the version of ``fact_key`` valid on date ``at``.
 
     Left outer; ``valid_from <= at < valid_to``.  ``carry`` names the version columns to
     bring along and what to call them.  There is always an equality on the key, so the
     range is only a residual test inside a hash or merge join.
 
-    ``small`` versions (see ``is_small``) are broadcast.  Otherwise both sides are shuffled on the key;
-    a hot fact key is then split by Spark's adaptive skew join (it may split the left side
-    of a left join), as long as the caller does not need the rows to stay grouped by key.
+    No hint: Spark broadcasts versions below its byte threshold.  Otherwise both sides are
+    shuffled on the key; a hot fact key is then split by Spark's adaptive skew join (it may
+    split the left side of a left join), as long as the caller does not need the rows to stay
+    grouped by key.
     """
     right = versions.select(
         F.col(version_key).alias("_key"), F.col("valid_from").alias("_from"),
         F.coalesce("valid_to", ntz(OPEN_END)).alias("_to"),
         *[F.col(c).alias(name) for c, name in carry.items()],
     )
-    if small:
-        right = F.broadcast(right)
     day = F.col(at).cast("timestamp_ntz")
     hit = (fact_key == F.col("_key")) & (day >= F.col("_from")) & (day < F.col("_to"))
     return facts.join(right, hit, "left").drop("_key", "_from", "_to")
 
 
 def resolve_key(facts: DataFrame, key: str, members: DataFrame, unknown: object,
-                stage: Callable[[DataFrame, str], DataFrame] | None = None,
-                small: bool | None = None) -> DataFrame:
+                stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """Replace keys that are no member, and NULL, by ``unknown``.
 
-    ``members`` is a frame whose column of the same name holds the valid keys.  Few members
-    (``small``, counted when not given) are broadcast.  With many members the fact rows are not shuffled to them: the distinct
-    fact keys are (hot keys shrink to one row per task), to find the keys that are *not*
-    members.  Usually there are none and the facts need no join at all; a few are
-    broadcast; many are joined by shuffle, where adaptive skew splitting applies.
+    ``members`` is a frame whose column of the same name holds the valid keys.  Without
+    ``stage`` the result is a lazy join whose form Spark picks by size.
+
+    A build gives ``stage``, which stores a frame and reads it back.  Then the fact rows are
+    not shuffled to the members, however many: only the distinct fact keys are (hot keys
+    shrink to one row per task), to store the keys that are *not* members.  These are
+    usually none or few, and as stored files Spark knows their bytes and broadcasts them.
     """
     value = F.col(key)
     valid = members.select(F.col(key).alias("_member")).distinct()
-    if is_small(members) if small is None else small:
-        found = facts.join(F.broadcast(valid), value == F.col("_member"), "left")
+    if stage is None:
+        found = facts.join(valid, value == F.col("_member"), "left")
         return found.withColumn(key, F.coalesce("_member", F.lit(unknown))).drop("_member")
 
     keys = facts.select(value.alias("_absent")).where(value.isNotNull()).distinct()
-    absent = keys.join(valid, F.col("_absent") == F.col("_member"), "left_anti")
-    if stage is not None:
-        absent = stage(absent, f"absent_{key}")
-    n = absent.count()
+    absent = stage(keys.join(valid, F.col("_absent") == F.col("_member"), "left_anti"),
+                   f"absent_{key}")
     known = F.coalesce(value, F.lit(unknown))
-    if n == 0:
-        return facts.withColumn(key, known)
-    marked = facts.join(F.broadcast(absent) if n <= BROADCAST_ROWS else absent,
-                        value == F.col("_absent"), "left")
+    marked = facts.join(absent, value == F.col("_absent"), "left")
     return marked.withColumn(
         key, F.when(F.col("_absent").isNull(), known).otherwise(F.lit(unknown))).drop("_absent")
 
@@ -145,7 +123,8 @@ def fact_listings(listings: DataFrame, listing_dim: DataFrame, host_dim: DataFra
                   stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """One row per silver listing: dimension keys, dates and metrics.
 
-    With the dimensions stored, this is a narrow job over the listings.
+    With small dimensions this is a narrow job over the listings.  Suburbs and LGAs are
+    joined as they are; ``stage`` is for listings and hosts, which grow with the rows.
     """
     rows = listings.select(
         "listing_row_id", "listing_id", "host_id", "listing_neighbourhood",
@@ -155,11 +134,10 @@ def fact_listings(listings: DataFrame, listing_dim: DataFrame, host_dim: DataFra
     )
     rows = resolve_key(rows, "listing_id", listing_dim, 0, stage)
     rows = resolve_key(rows, "host_id", host_dim, 0, stage)
-    rows = resolve_key(rows, "suburb_name", suburb_dim, UNKNOWN_SUBURB["suburb_name"], stage)
+    rows = resolve_key(rows, "suburb_name", suburb_dim, UNKNOWN_SUBURB["suburb_name"])
     real_lgas = lga_dim.where(F.col("lga_code") != UNKNOWN_LGA["lga_code"])
     rows = asof_join(rows, real_lgas, upper_name(F.col("listing_neighbourhood")),
-                     "lga_name_upper", "scraped_date", {"lga_code": "found_lga"},
-                     small=is_small(lga_dim))
+                     "lga_name_upper", "scraped_date", {"lga_code": "found_lga"})
     return rows.select(
         "listing_row_id", "listing_id", "host_id",
         F.coalesce("found_lga", F.lit(UNKNOWN_LGA["lga_code"])).alias("listing_lga_code"),

@@ -101,14 +101,13 @@ def mart(house: Warehouse, name: str, ordered: bool = False) -> DataFrame:
     fact = house.table("gold.fact_listings")
     if name == "listing_neighbourhood":
         return marts.listing_neighbourhood(
-            fact, house.table("gold.dim_lga"), house.table("gold.dim_host"), house.rows)
+            fact, house.table("gold.dim_lga"), house.table("gold.dim_host"))
     if name == "property_type":
         return marts.property_type(
-            fact, house.table("gold.dim_listing"), house.table("gold.dim_host"),
-            house.stage, house.rows)
+            fact, house.table("gold.dim_listing"), house.table("gold.dim_host"))
     if name == "host_neighbourhood":
         return marts.host_neighbourhood(
-            fact, house.table("gold.dim_suburb"), house.table("gold.dim_lga"), house.rows)
+            fact, house.table("gold.dim_suburb"), house.table("gold.dim_lga"))
     raise ValueError(f"no mart named {name!r}")
 
 

@@ -1,23 +1,22 @@
-"""The three marts.  Each returns a lazy DataFrame, as a view over the stored star would.
+"""The three marts.  Each is one lazy plan, as a view over the stored star would be: making
+it runs no job and stores nothing, whatever the size of the dimensions.
 
 Distinct hosts and superhosts are counted by grouping twice (per group and host, then per
 group) instead of several count-distincts, which would copy every fact row per distinct
 column.  The median has its own narrow pass, so no row carries a value map through the
-host grouping.
+host grouping; that pass scans the group, price and activity columns of active rows only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio
 from ..operators.measures import exact_median, is_active, mom_change, revenue, stays
-from ..operators.star import Counter, asof_join, count_rows, is_small
-
-Stage = Callable[[DataFrame, str], DataFrame]
+from ..operators.star import asof_join
 
 # Partial measure -> how partials combine.
 _COMBINE = {
@@ -60,28 +59,21 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
 
 
 def listing_metrics(rows: DataFrame, hosts: DataFrame, group: Sequence[str],
-                    hosts_small: bool, month: str = "month_year") -> DataFrame:
+                    month: str = "month_year") -> DataFrame:
     """The twelve listing metrics per group and month.
 
-    ``rows`` are fact rows that already carry the ``group`` columns.  When the host
-    dimension is too big to broadcast, rows are reduced to one per (group, month, host,
-    day) before they are shuffled to it, so a host with a third of all rows arrives as a
-    few rows per day; after that join they are already together for the grouping by host.
+    ``rows`` are fact rows that already carry the ``group`` columns.  They are reduced to
+    one per (group, month, host, day) before they meet the host versions, so a host with a
+    third of all rows is a few rows per group and day when a big dimension is shuffled; after
+    that join they are already together for the grouping by host.
     """
     keys = [*group, month]
     per_host = [*keys, "host_id"]
-    superhost = {"host_is_superhost": "host_is_superhost"}
-    if hosts_small:
-        marked = asof_join(rows, hosts, F.col("host_id"), "host_id", "scraped_date",
-                           superhost, small=True)
-        measures = _partials()
-    else:
-        daily = rows.groupBy(*per_host, "scraped_date").agg(*_partials())
-        marked = asof_join(daily, hosts, F.col("host_id"), "host_id", "scraped_date",
-                           superhost, small=False)
-        measures = _combined()
+    daily = rows.groupBy(*per_host, "scraped_date").agg(*_partials())
+    marked = asof_join(daily, hosts, F.col("host_id"), "host_id", "scraped_date",
+                       {"host_is_superhost": "host_is_superhost"})
     by_host = marked.groupBy(*per_host).agg(
-        *measures, F.max("host_is_superhost").alias("was_superhost"))
+        *_combined(), F.max("host_is_superhost").alias("was_superhost"))
     monthly = by_host.groupBy(*keys).agg(
         *_combined(),
         F.count(F.lit(1)).alias("distinct_hosts"),
@@ -122,43 +114,36 @@ def _or_unknown(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit("Unknown")).alias(name)
 
 
-def listing_neighbourhood(fact: DataFrame, lgas: DataFrame, hosts: DataFrame,
-                          count: Counter = count_rows) -> DataFrame:
+def listing_neighbourhood(fact: DataFrame, lgas: DataFrame, hosts: DataFrame) -> DataFrame:
     """Listing metrics per LGA of the listing and month."""
     rows = asof_join(_facts(fact), lgas, F.col("listing_lga_code"), "lga_code", "scraped_date",
-                     {"lga_name": "listing_neighbourhood"}, small=is_small(lgas, count))
+                     {"lga_name": "listing_neighbourhood"})
     rows = rows.withColumn("listing_neighbourhood", _or_unknown("listing_neighbourhood"))
-    return listing_metrics(rows, hosts, ["listing_neighbourhood"], is_small(hosts, count))
+    return listing_metrics(rows, hosts, ["listing_neighbourhood"])
 
 
-def property_type(fact: DataFrame, listings: DataFrame, hosts: DataFrame,
-                  stage: Stage | None = None, count: Counter = count_rows) -> DataFrame:
+def property_type(fact: DataFrame, listings: DataFrame, hosts: DataFrame) -> DataFrame:
     """Listing metrics per property type, room type, capacity and month.
 
-    When the listing dimension is too big to broadcast, the facts are shuffled to it once
-    and, given ``stage``, kept there for the two passes that read them.
+    When the listing dimension is too big to broadcast, each of the two passes shuffles its
+    own few fact columns to it: the median pass only active rows with their price.
     """
-    small = is_small(listings, count)
     rows = asof_join(
         _facts(fact).select("listing_id", "host_id", "scraped_date", "month_year", "is_active",
                             "price", "availability_30", "review_scores_rating"),
         listings, F.col("listing_id"), "listing_id", "scraped_date",
-        {c: c for c in ("property_type", "room_type", "accommodates")}, small=small,
+        {c: c for c in ("property_type", "room_type", "accommodates")},
     ).drop("listing_id")
     rows = rows.withColumns({c: _or_unknown(c) for c in ("property_type", "room_type")})
-    if stage is not None and not small:
-        rows = stage(rows, "facts_by_property")
-    return listing_metrics(rows, hosts, ["property_type", "room_type", "accommodates"],
-                           is_small(hosts, count))
+    return listing_metrics(rows, hosts, ["property_type", "room_type", "accommodates"])
 
 
-def host_neighbourhood(fact: DataFrame, suburbs: DataFrame, lgas: DataFrame,
-                       count: Counter = count_rows) -> DataFrame:
+def host_neighbourhood(fact: DataFrame, suburbs: DataFrame, lgas: DataFrame) -> DataFrame:
     """Hosts and revenue per LGA of the host's suburb and month."""
     rows = asof_join(_facts(fact), suburbs, F.col("host_suburb"), "suburb_name", "scraped_date",
-                     {"lga_name": "suburb_lga"}, small=is_small(suburbs, count))
+                     {"lga_name": "suburb_lga"})
     rows = asof_join(rows, lgas, F.col("suburb_lga"), "lga_name_upper", "scraped_date",
-                     {"lga_name": "host_neighbourhood_lga"}, small=is_small(lgas, count))
+                     {"lga_name": "host_neighbourhood_lga"})
     keys = ["host_neighbourhood_lga", "month_year"]
     by_host = (
         rows.withColumn(keys[0], _or_unknown(keys[0]))

@@ -63,8 +63,8 @@ class Scratch:
 class Warehouse:
     """The tables of one finished build: the last one, unless ``build`` says otherwise.
 
-    A build never changes, so its tables and their row counts are looked up once; open the
-    folder again to see a later build.
+    A build never changes, so its tables are looked up once; open the folder again to see a
+    later build.
     """
 
     def __init__(self, spark: SparkSession, root: str, build: int | None = None):
@@ -73,8 +73,6 @@ class Warehouse:
         done = self._finished()
         self.builds = done if build is None else [b for b in done if b <= build]
         self._tables: dict[str, DataFrame] = {}
-        self._counts: dict[int, int] = {}
-        self._staged: dict[str, DataFrame] = {}
 
     # ---- commits ----
 
@@ -126,20 +124,6 @@ class Warehouse:
             self._tables[table] = self.spark.read.parquet(self._path(table, self.builds[-1]))
         return self._tables[table]
 
-    def rows(self, df: DataFrame) -> int:
-        """Row count of a frame that ``table`` returned; counted once, from file footers."""
-        if not any(df is t for t in self._tables.values()):
-            return df.count()
-        if id(df) not in self._counts:
-            self._counts[id(df)] = df.count()
-        return self._counts[id(df)]
-
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
-        """An intermediate result of reading this build, stored on first use."""
-        if name not in self._staged:
-            self._staged[name] = Scratch(self.spark, "staged")(df, name)
-        return self._staged[name]
-
     # ---- snapshots ----
 
     def write_snapshot(self, table: str, build: int, delta: DataFrame) -> None:
