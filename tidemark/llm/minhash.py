@@ -204,7 +204,8 @@ def _links(docs: DataFrame, placed: DataFrame, firsts: DataFrame, words: int, pe
     """
     spark = docs.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
-    wanted = placed.select("node").distinct()
+    # Stored, so that Spark knows its bytes and need not shuffle all texts for a short list.
+    wanted = scratch(placed.select("node").distinct(), "wanted")
     sets = (docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(wanted, "node", "left_semi")
             .mapInArrow(_sets(words), "node long, held binary")
             .repartition(n, "node").persist(StorageLevel.MEMORY_AND_DISK))
