@@ -487,10 +487,12 @@ def oracle_sql() -> dict[str, str]:
     valid = text("valid_from", "valid_to")
     latest = text("listing_month", "updated_at")
     version = "scd_id, " + text("scd_updated_at", "valid_from", "valid_to")
-    firsts = {"census_g01": ("raw_g01", "lga_code_2016"), "census_g02": ("raw_g02", "lga_code_2016"),
-              "nsw_lga_code": ("raw_lga", "lga_name"), "nsw_lga_suburb": ("raw_suburb", "suburb_name")}
-    copies = " UNION ALL ".join(f"SELECT {q(t)} AS table_name, {c} AS first_column FROM {s}"
-                                for t, (s, c) in firsts.items())
+    stored = {"census_g01": ("raw_g01", "lga_code_2016, tot_p, " + dbl("sum_bal")),
+              "census_g02": ("raw_g02", "lga_code_2016, " + dbl("min_bal", "max_bal")),
+              "nsw_lga_code": ("raw_lga", "lga_code, lga_name"),
+              "nsw_lga_suburb": ("raw_suburb", "suburb_name, lga_name")}
+    copies = " UNION ALL BY NAME ".join(f"SELECT {q(t)} AS table_name, {c} FROM {s}"
+                                        for t, (s, c) in stored.items())
     return {
         "raw_listings": chain("raw_listings", f"SELECT {', '.join(_RAW)} FROM raw_listings"),
         "bronze_copy": chain("raw_g01 raw_g02 raw_lga raw_suburb", copies),

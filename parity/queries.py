@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,13 +98,10 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts and a column of the four tables that are copied as they are."""
-    layer = build.bronze(landed(spark, sf_dir))
-    firsts = {"census_g01": "lga_code_2016", "census_g02": "lga_code_2016",
-              "nsw_lga_code": "lga_name", "nsw_lga_suburb": "suburb_name"}
-    parts = [layer[t].select(F.lit(t).alias("table_name"), F.col(c).alias("first_column"))
-             for t, c in firsts.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    """Every row and column of the four stored tables that are copied as they are."""
+    parts = [build.table(house(spark, sf_dir), f"bronze.{t}").select(F.lit(t).alias("table_name"), "*")
+             for t in ("census_g01", "census_g02", "nsw_lga_code", "nsw_lga_suburb")]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,7 +67,7 @@ def test_second_build_closed_versions(house):
 def test_every_fact_finds_one_version(house, dim, fact_key, key):
     fact = build.table(house, "gold.fact_listings")
     joined = star.asof_join(fact, build.table(house, dim), F.col(fact_key), key, "scraped_date",
-                            {"valid_from": "found"}, small=True)
+                            {"valid_from": "found"})
     assert joined.count() == joined.where("found IS NOT NULL").count() == fact.count()
 
 
@@ -98,7 +98,7 @@ def test_an_earlier_build_can_be_opened(spark, house, root):
 def test_regrouped_months_give_the_same_fact(spark, raw, house, tmp_path):
     mixed = {**raw, "listings": raw["listings"].repartition(4)}
     other = build.run_build(spark, mixed, str(tmp_path), datetime(2000, 1, 1),
-                            cutoff=adapter.CUTOFF, regroup_months=True)
+                            cutoff=adapter.CUTOFF)
     columns = ["listing_row_id", "listing_month", "scraped_date", "is_active", "price"]
     a, b = (build.table(w, "gold.fact_listings").select(*columns) for w in (house, other))
     assert a.exceptAll(b).count() == 0 and a.count() == b.count()
@@ -120,7 +120,7 @@ def test_a_month_filter_reads_only_its_directory(house):
 
 def test_views(spark, house):
     names = build.register_views(house, "t_")
-    assert len(names) == 22
+    assert len(names) == 27
     n = spark.sql("SELECT count(*) FROM t_mart_host_neighbourhood m JOIN t_gold_dim_lga l "
                   "ON l.lga_name = m.host_neighbourhood_lga").first()[0]
     assert n > 0

@@ -17,6 +17,8 @@ from .rules import ALL_RULES
 CENSUS = ("census_g01", "census_g02")
 
 TABLES = (
+    "bronze.listings", "bronze.census_g01", "bronze.census_g02", "bronze.nsw_lga_code",
+    "bronze.nsw_lga_suburb",
     "silver.listings", "silver.host", "silver.listing_latest", "silver.nsw_lga_code",
     "silver.nsw_lga_suburb", "silver.suburb_override", "silver.census_g01", "silver.census_g02",
     "gold.dim_host", "gold.dim_listing", "gold.dim_lga", "gold.dim_suburb",
@@ -28,32 +30,36 @@ MARTS = ("mart.listing_neighbourhood", "mart.property_type", "mart.host_neighbou
 
 
 def bronze(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The bronze layer: raw tables as they are, listings with a row key.
-
-    Left as views: each is read once by a build, so a copy would only move the data.
-    """
+    """The bronze layer: raw tables as they are, listings with a row key."""
     return {**raw, "listings": listings.bronze_listings(raw["listings"])}
 
 
 def run_build(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, run_ts: datetime, *,
               cutoff: str = RECODE_CUTOFF,
               overrides: Iterable[tuple[str, str, str]] = geography.SUBURB_OVERRIDES,
-              with_gold: bool = True, regroup_months: bool = False) -> Warehouse:
+              with_gold: bool = True, regroup_months: bool = True) -> Warehouse:
     """Rebuild every table from the raw tables and move the snapshots on by one run.
 
     Meant to run after each monthly load: the history holds what the runs saw.  ``run_ts``
     stamps the versions of tables that have no date of their own.  ``with_gold=False``
-    stops after the snapshots, for catching up month by month.  ``regroup_months`` is for
-    raw listings that are not stored month by month (see ``Warehouse.write_monthly``).
+    stops after the snapshots, for catching up month by month.
+
+    Bronze listings are brought together by month in one shuffle; silver and the fact follow
+    from them by narrow work, so they are grouped as well.  ``regroup_months=False`` saves
+    that shuffle where the raw listings come month by month (see ``Warehouse.write_monthly``).
     """
     house = Warehouse(spark, root)
     n = house.next_build()
-    src = bronze(raw)
 
     def write(table: str, df: DataFrame) -> DataFrame:
         return house.write(table, n, df)
 
-    clean = write("silver.listings", listings.clean_listings(src["listings"], cutoff))
+    layer = bronze(raw)
+    src = {name: write(f"bronze.{name}", df) for name, df in layer.items() if name != "listings"}
+    src["listings"] = house.write_monthly(
+        "bronze.listings", n, layer["listings"], "source_month", regroup_months)
+    clean = house.write_monthly(
+        "silver.listings", n, listings.clean_listings(src["listings"], cutoff), "listing_month", False)
     hosts = write("silver.host", history.latest_hosts(clean))
     latest = write("silver.listing_latest", history.latest_listings(clean))
     lgas = write("silver.nsw_lga_code", geography.clean_lga_codes(src["nsw_lga_code"]))
@@ -89,7 +95,7 @@ def run_build(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, run_
             "suburb_dim": write("gold.dim_suburb", star.dim_suburb(suburb_snap)),
         }
         fact = star.fact_listings(clean, **dims, stage=Scratch(spark, f"build-{n}"))
-        house.write_monthly("gold.fact_listings", n, fact, "listing_month", regroup_months)
+        house.write_monthly("gold.fact_listings", n, fact, "listing_month", False)
     house.commit(n, run_ts)
     return Warehouse(spark, root)
 

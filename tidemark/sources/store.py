@@ -106,8 +106,9 @@ class Warehouse:
         return self.spark.read.schema(df.schema).parquet(self._path(table, build))
 
     def write_monthly(self, table: str, build: int, df: DataFrame, month: str,
-                      regroup: bool) -> None:
-        """Write a table in one directory per month, so that reads of a month skip the rest.
+                      regroup: bool) -> DataFrame:
+        """Write a table in one directory per month, so that reads of a month skip the rest,
+        and return it as read back.
 
         Rows that come month by month are written as they are.  Otherwise every task would
         write a small file into every month; ``regroup`` then shuffles months together
@@ -116,6 +117,7 @@ class Warehouse:
         if regroup:
             df = df.hint("rebalance", month)
         df.write.mode("overwrite").partitionBy(month).parquet(self._path(table, build))
+        return self.spark.read.schema(df.schema).parquet(self._path(table, build))
 
     def table(self, table: str) -> DataFrame:
         if not self.builds:
