@@ -1,9 +1,12 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.brute import repeated
+from tidemark.llm import repeats, substring_dedup
 from tidemark.llm.substring_dedup import SuffixAutomaton, remove_repeated_words
 from tidemark.llm.suffix_array_dedup import remove_repeated_bytes
 
@@ -76,3 +79,15 @@ def test_automaton_against_search():
     text = [rng.randrange(4) for _ in range(80)]
     want = [max(k for k in range(i + 2) if tuple(text[i + 1 - k:i + 1]) in parts) for i in range(len(text))]
     assert automaton.matching_statistics(text) == want
+
+
+def test_phrases_of_a_gram_are_told_apart_by_all_bits(monkeypatch):
+    """Two phrases whose hashes differ in the lower half alone: neither is settled."""
+    hashes = iter([1 << 40 | 1, 1 << 40 | 2])
+    monkeypatch.setattr(repeats, "phrases", lambda *_: tuple(np.array([x], t) for x, t in (
+        (7, "u8"), (next(hashes), "u8"), (0, "i8"), (3, "i8"))))
+    ask = repeats._ask(substring_dedup.plan(), 5)
+    parts = [b for d in (1, 2) for b in ask(iter([pa.RecordBatch.from_pydict(
+        {"doc_id": [d], "mark": pa.array([d], pa.int32()), "text": ["a"]})]))]
+    out = repeats._compare(5)(pa.Table.from_batches(parts))
+    assert sorted(out["kind"].to_pylist()) == [2, 2]

@@ -8,7 +8,8 @@ same place of phrases with the same gram.  Three shuffles find the spans to remo
 1. Phrases as (gram hash, phrase hash, place), packed into one blob per batch and shard of
    gram hashes.  Phrases equal to one of a smaller doc_id in the same batch are settled in
    the map task, so a phrase that a third of all texts hold arrives once per batch.
-2. A shard settles phrases equal to one of a smaller doc_id (96 bits of the two hashes).
+2. A shard settles phrases equal to one of a smaller doc_id (all 64 bits of both hashes: the
+   gram is the same for all phrases compared, so the phrase hash alone must tell them apart).
    Of each set of equal phrases the first stays open if its gram also has other phrases.
 3. Only the tokens of open phrases are fetched, by text shard, and sent to the gram's
    shard, where ``settle`` compares token for token.
@@ -34,7 +35,8 @@ SHARD_BYTES = 8 << 20
 FLUSH = 1_000_000  # phrases held by a map task before they are packed
 
 PLACE = np.dtype([("row", "<u4"), ("start", "<u4"), ("count", "<u1")])
-ASKED = np.dtype([("gram", "<u8"), ("phrase", "<u4"), ("row", "<u4"), ("start", "<u4"), ("count", "<u1")])
+ASKED = np.dtype([("gram", "<u8"), ("phrase", "<u8"), ("row", "<u4"), ("start", "<u4"), ("count", "<u1")])
+OPEN = np.dtype([("gram", "<u8"), ("row", "<u4"), ("start", "<u4"), ("count", "<u1")])
 PACKED = "shard int, kind int, ids binary, marks binary, data binary"
 
 #: Tokens of a text as hashes, one per token, and as what ``settle`` compares.
@@ -184,7 +186,7 @@ def _ask(plan: Plan, n: int) -> Callable:
         known["row"], known["start"], known["count"] = row[later], start[later], count[later]
         now = ~later
         asked = np.zeros(int(now.sum()), ASKED)
-        asked["gram"], asked["phrase"] = gram[now], phrase[now] >> U(32)
+        asked["gram"], asked["phrase"] = gram[now], phrase[now]
         asked["row"], asked["start"], asked["count"] = row[now], start[now], count[now]
         out = list(_deal((asked["gram"] % U(n)).astype(np.int32), 0, ids, marks, asked))
         if len(known):
@@ -239,7 +241,10 @@ def _compare(n: int) -> Callable:
             for c in ("row", "start", "count"):
                 known[c] = asked[c][settled]
             out += _deal(of[known["row"]], 1, ids, marks, known)
-            out += _deal(of[asked["row"][many]], 2, ids, marks, asked[many])
+            opened = np.zeros(int(many.sum()), OPEN)
+            for c in OPEN.names:
+                opened[c] = asked[c][many]
+            out += _deal(of[opened["row"]], 2, ids, marks, opened)
         return pa.Table.from_batches(list(_rows(out, PACKED_ARROW)), PACKED_ARROW)
 
     return run
@@ -253,14 +258,14 @@ def _texts(table: pa.Table) -> dict[tuple[int, int], np.ndarray]:
 def _fetch(plan: Plan, n: int) -> Callable:
     """Step 3a for one shard of texts: the tokens of its open phrases, by shard of grams."""
     def run(texts: pa.Table, places: pa.Table) -> pa.Table:
-        ids, marks, asked = _unpack(places, 2, ASKED)
+        ids, marks, asked = _unpack(places, 2, OPEN)
         out = []
         if len(asked):
             held = _texts(texts)
             asked = asked[np.argsort(asked["row"], kind="stable")]
             values, last = None, -1
             parts: dict[int, list[tuple]] = {}
-            for k, (gram, _, row, start, count) in enumerate(asked.tolist()):
+            for k, (gram, row, start, count) in enumerate(asked.tolist()):
                 if row != last:
                     values, last = plan.values(held[(int(ids[row]), int(marks[row]))]), row
                 parts.setdefault(gram % n, []).append((k, values[start: start + count + plan.window - 1]))
@@ -280,13 +285,13 @@ def _settle(plan: Plan, n: int) -> Callable:
         ids, marks, heads, values, base = [], [], [], [], 0
         for k, i, m, d in zip(table["kind"].to_pylist(), table["ids"], table["marks"], table["data"], strict=True):
             raw = d.as_py()
-            head = _entries(raw[:k * ASKED.itemsize], ASKED)
+            head = _entries(raw[:k * OPEN.itemsize], OPEN)
             head["row"] += base
             ids.append(np.frombuffer(i.as_py(), np.int64))
             marks.append(np.frombuffer(m.as_py(), np.int32))
             base += len(ids[-1])
             heads.append(head)
-            values.append(np.frombuffer(raw, plan.kind, offset=k * ASKED.itemsize))
+            values.append(np.frombuffer(raw, plan.kind, offset=k * OPEN.itemsize))
         ids, marks = np.concatenate(ids), np.concatenate(marks)
         heads, values = np.concatenate(heads), np.concatenate(values)
         size = heads["count"].astype(np.int64) + plan.window - 1
