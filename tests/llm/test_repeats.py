@@ -1,4 +1,5 @@
 import random
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -6,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.brute import repeated
-from tidemark.llm import repeats, substring_dedup
+from tidemark.llm import repeats, substring_dedup, suffix_array_dedup
 from tidemark.llm.substring_dedup import SuffixAutomaton, remove_repeated_words
 from tidemark.llm.suffix_array_dedup import remove_repeated_bytes
 
@@ -89,5 +90,32 @@ def test_phrases_of_a_gram_are_told_apart_by_all_bits(monkeypatch):
     ask = repeats._ask(substring_dedup.plan(), 5)
     parts = [b for d in (1, 2) for b in ask(iter([pa.RecordBatch.from_pydict(
         {"doc_id": [d], "mark": pa.array([d], pa.int32()), "text": ["a"]})]))]
-    out = repeats._compare(5)(pa.Table.from_batches(parts))
+    out = repeats._compare(substring_dedup.plan(), 5)(pa.Table.from_batches(parts))
     assert sorted(out["kind"].to_pylist()) == [2, 2]
+
+
+def bounded(plan):
+    """The plan with a ``settle`` that refuses more phrases of a gram than 1,000."""
+    def settle(values, at, ids, grams):
+        assert np.unique(grams, return_counts=True)[1].max() <= 1000
+        return plan.settle(values, at, ids, grams)
+    return replace(plan, settle=settle)
+
+
+def test_a_passage_of_very_many_texts_is_not_one_tasks_work(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    passage = " ".join(word() for _ in range(60))
+    rows = [(d, " ".join([*(word() for _ in range(15)), passage, *(word() for _ in range(15))]), "x", 1)
+            for d in rng.sample(range(10_000), 1500)]
+    rows += [rows[7]]
+    out = repeats.remove_repeats(frame(spark, rows), bounded(substring_dedup.plan()))
+    assert result(out) == expected(rows, 50, bytes.split, b" ".join)
+
+
+@pytest.mark.parametrize("most", [0, 3])
+def test_windows_of_crowded_grams(spark, most):
+    rows = corpus(5)
+    words, octets = (replace(p, most_open=most) for p in (substring_dedup.plan(20), suffix_array_dedup.plan(50)))
+    assert result(repeats.remove_repeats(frame(spark, rows), words)) == expected(rows, 20, bytes.split, b" ".join)
+    assert result(repeats.remove_repeats(frame(spark, rows), octets)) == expected(rows, 50, list, bytes)

@@ -12,7 +12,10 @@ same place of phrases with the same gram.  Three shuffles find the spans to remo
    gram is the same for all phrases compared, so the phrase hash alone must tell them apart).
    Of each set of equal phrases the first stays open if its gram also has other phrases.
 3. Only the tokens of open phrases are fetched, by text shard, and sent to the gram's
-   shard, where ``settle`` compares token for token.
+   shard, where ``settle`` compares token for token.  A gram with more than ``most_open``
+   open phrases, such as the edge of a passage that very many texts hold, would be one task's
+   work; its windows go by their own hash (128 bits) instead, so they spread over all shards,
+   and a window that many texts hold arrives once per text shard.
 
 The texts are shuffled once; both passes over them read the same exchange.
 Rows are told apart by (doc_id, hash of the text), so a repeated row gets the same spans.
@@ -26,10 +29,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tokens import U, prefix_sums, spans_hash, texts_of
+from .tokens import U, mix, prefix_sums, spans_hash, texts_of
 
 SHARD_BYTES = 8 << 20
 FLUSH = 1_000_000  # phrases held by a map task before they are packed
@@ -37,6 +41,7 @@ FLUSH = 1_000_000  # phrases held by a map task before they are packed
 PLACE = np.dtype([("row", "<u4"), ("start", "<u4"), ("count", "<u1")])
 ASKED = np.dtype([("gram", "<u8"), ("phrase", "<u8"), ("row", "<u4"), ("start", "<u4"), ("count", "<u1")])
 OPEN = np.dtype([("gram", "<u8"), ("row", "<u4"), ("start", "<u4"), ("count", "<u1")])
+WINDOW = np.dtype([("one", "<u8"), ("two", "<u8"), ("row", "<u4"), ("start", "<u4")])
 PACKED = "shard int, kind int, ids binary, marks binary, data binary"
 
 #: Tokens of a text as hashes, one per token, and as what ``settle`` compares.
@@ -54,6 +59,8 @@ class Plan:
     values: Tokens
     kind: str  # numpy type of the values
     settle: Settle
+    #: Open phrases of one gram that ``settle`` may get.
+    most_open: int
     #: (bytes of a text, removed span starts, ends) -> tokens, tokens removed, what is left.
     rest: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[int, int, bytes]]
 
@@ -213,8 +220,9 @@ def _ask(plan: Plan, n: int) -> Callable:
     return run
 
 
-def _compare(n: int) -> Callable:
-    """Step 2 for one shard of grams: (kind 1) settled places, (kind 2) open phrases."""
+def _compare(plan: Plan, n: int) -> Callable:
+    """Step 2 for one shard of grams: (kind 1) settled places, (kind 2) open phrases, (kind 3)
+    open phrases of grams that have more than ``most_open``."""
     def run(table: pa.Table) -> pa.Table:
         out = []
         for k, s, i, m, d in zip(table["kind"].to_pylist(), table["shard"].to_pylist(), table["ids"],
@@ -241,10 +249,12 @@ def _compare(n: int) -> Callable:
             for c in ("row", "start", "count"):
                 known[c] = asked[c][settled]
             out += _deal(of[known["row"]], 1, ids, marks, known)
-            opened = np.zeros(int(many.sum()), OPEN)
-            for c in OPEN.names:
-                opened[c] = asked[c][many]
-            out += _deal(of[opened["row"]], 2, ids, marks, opened)
+            crowd = np.bincount(by_gram, weights=many)[by_gram] > plan.most_open
+            for kind, held in ((2, many & ~crowd), (3, many & crowd)):
+                opened = np.zeros(int(held.sum()), OPEN)
+                for c in OPEN.names:
+                    opened[c] = asked[c][held]
+                out += _deal(of[opened["row"]], kind, ids, marks, opened)
         return pa.Table.from_batches(list(_rows(out, PACKED_ARROW)), PACKED_ARROW)
 
     return run
@@ -255,13 +265,53 @@ def _texts(table: pa.Table) -> dict[tuple[int, int], np.ndarray]:
                                          texts_of(table["text"]), strict=True)}
 
 
+def _first_windows(ids: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows sorted by hash, and whether each also starts in a row with a smaller doc_id."""
+    found = found[np.lexsort((ids[found["row"]], found["two"], found["one"]))]
+    run = _equal_runs(found["one"], found["two"])
+    first = np.flatnonzero(np.concatenate([[True], np.diff(run) != 0]))
+    return found, ids[found["row"]] > ids[found["row"]][first][run]
+
+
+def _later(found: np.ndarray) -> np.ndarray:
+    known = np.zeros(len(found), PLACE)
+    known["row"], known["start"], known["count"] = found["row"], found["start"], 1
+    return known
+
+
+def _windows(plan: Plan, n: int, held: dict[tuple[int, int], np.ndarray], places: pa.Table) -> Iterator[tuple]:
+    """(kind 3) The first copy in this shard of texts of each window of crowded grams; later
+    ones are settled (kind 1) at once."""
+    ids, marks, asked = _unpack(places, 3, OPEN)
+    if not len(asked):
+        return
+    asked = asked[np.argsort(asked["row"], kind="stable")]
+    edges = np.flatnonzero(np.diff(asked["row"].astype(np.int64), prepend=-1, append=-1))
+    parts = []
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        row, count = int(asked["row"][a]), asked["count"][a:b].astype(np.int64)
+        start = np.arange(count.sum()) + np.repeat(asked["start"][a:b] - np.cumsum(count) + count, count)
+        tokens = plan.hashes(held[(int(ids[row]), int(marks[row]))])
+        part = np.zeros(len(start), WINDOW)
+        part["row"], part["start"] = row, start
+        for c, x in (("one", tokens), ("two", mix(tokens + U(1)))):
+            part[c] = spans_hash(prefix_sums(x), start, start + plan.window)
+        parts.append(part)
+    found, later = _first_windows(ids, np.concatenate(parts))
+    known, found = _later(found[later]), found[~later]
+    if len(known):
+        yield from _deal(_text_shard(ids, n)[known["row"]], 1, ids, marks, known)
+    yield from _deal((found["one"] % U(n)).astype(np.int32), 3, ids, marks, found)
+
+
 def _fetch(plan: Plan, n: int) -> Callable:
-    """Step 3a for one shard of texts: the tokens of its open phrases, by shard of grams."""
+    """Step 3a for one shard of texts: the tokens of its open phrases, by shard of grams, and
+    the windows of the phrases of crowded grams, by shard of window hashes."""
     def run(texts: pa.Table, places: pa.Table) -> pa.Table:
+        held = _texts(texts)
+        out = list(_windows(plan, n, held, places))
         ids, marks, asked = _unpack(places, 2, OPEN)
-        out = []
         if len(asked):
-            held = _texts(texts)
             asked = asked[np.argsort(asked["row"], kind="stable")]
             values, last = None, -1
             parts: dict[int, list[tuple]] = {}
@@ -272,26 +322,45 @@ def _fetch(plan: Plan, n: int) -> Callable:
             for shard, found in parts.items():
                 part = asked[[k for k, _ in found]]
                 used, part["row"] = np.unique(part["row"], return_inverse=True)
-                data = _planes(part) + np.concatenate([v for _, v in found]).tobytes()
-                out.append((shard, len(part), ids[used].tobytes(), marks[used].tobytes(), data))
+                data = (np.int64(len(part)).tobytes() + _planes(part)
+                        + np.concatenate([v for _, v in found]).tobytes())
+                out.append((shard, 2, ids[used].tobytes(), marks[used].tobytes(), data))
         return pa.Table.from_batches(list(_rows(out, PACKED_ARROW)), PACKED_ARROW)
 
     return run
 
 
 def _settle(plan: Plan, n: int) -> Callable:
-    """Step 3b for one shard of grams: windows of open phrases that start in an earlier text."""
+    """Step 3b for one shard of grams and of window hashes: windows of open phrases that start
+    in an earlier text."""
     def run(table: pa.Table) -> pa.Table:
+        out = []
+        for k, s, i, m, d in zip(table["kind"].to_pylist(), table["shard"].to_pylist(), table["ids"],
+                                 table["marks"], table["data"], strict=True):
+            if k == 1:
+                out.append((s, 1, i.as_py(), m.as_py(), d.as_py()))
+        ids, marks, found = _unpack(table, 3, WINDOW)
+        if len(found):
+            found, later = _first_windows(ids, found)
+            known = _later(found[later])
+            out += _deal(_text_shard(ids, n)[known["row"]], 1, ids, marks, known)
+        out += compared(table.filter(pc.equal(table["kind"], 2)))
+        return pa.Table.from_batches(list(_rows(out, PACKED_ARROW)), PACKED_ARROW)
+
+    def compared(table: pa.Table) -> Iterable[tuple]:
+        if not len(table):
+            return []
         ids, marks, heads, values, base = [], [], [], [], 0
-        for k, i, m, d in zip(table["kind"].to_pylist(), table["ids"], table["marks"], table["data"], strict=True):
+        for i, m, d in zip(table["ids"], table["marks"], table["data"], strict=True):
             raw = d.as_py()
-            head = _entries(raw[:k * OPEN.itemsize], OPEN)
+            after = 8 + int(np.frombuffer(raw, np.int64, 1)[0]) * OPEN.itemsize
+            head = _entries(raw[8: after], OPEN)
             head["row"] += base
             ids.append(np.frombuffer(i.as_py(), np.int64))
             marks.append(np.frombuffer(m.as_py(), np.int32))
             base += len(ids[-1])
             heads.append(head)
-            values.append(np.frombuffer(raw, plan.kind, offset=k * OPEN.itemsize))
+            values.append(np.frombuffer(raw, plan.kind, offset=after))
         ids, marks = np.concatenate(ids), np.concatenate(marks)
         heads, values = np.concatenate(heads), np.concatenate(values)
         size = heads["count"].astype(np.int64) + plan.window - 1
@@ -304,8 +373,7 @@ def _settle(plan: Plan, n: int) -> Callable:
         found["row"] = heads["row"][of[hit]]
         found["start"] = (heads["start"][of] + inner)[hit]
         found["count"] = 1
-        out = list(_deal(_text_shard(ids, n)[found["row"]], 1, ids, marks, found)) if len(found) else []
-        return pa.Table.from_batches(list(_rows(out, PACKED_ARROW)), PACKED_ARROW)
+        return _deal(_text_shard(ids, n)[found["row"]], 1, ids, marks, found) if len(found) else []
 
     return run
 
@@ -332,10 +400,10 @@ def remove_repeats(docs: DataFrame, plan: Plan, carry: tuple[str, ...] = ()) ->
                        *[docs[c].alias(a) for c, a in zip(carry, named, strict=True)])
     base = base.withColumn("mark", F.hash("text"))
     places = (base.select("doc_id", "mark", "text").mapInArrow(_ask(plan, n), PACKED)
-              .groupBy("shard").applyInArrow(_compare(n), PACKED))
+              .groupBy("shard").applyInArrow(_compare(plan, n), PACKED))
     shard = F.pmod(F.coalesce("doc_id", "mark"), F.lit(n)).cast("int")
     by_shard = base.withColumn("shard", shard).groupBy("shard")
-    late = (by_shard.cogroup(places.where("kind = 2").groupBy("shard"))
+    late = (by_shard.cogroup(places.where("kind > 1").groupBy("shard"))
             .applyInArrow(_fetch(plan, n), PACKED)
             .groupBy("shard").applyInArrow(_settle(plan, n), PACKED))
     known = places.where("kind = 1").unionByName(late)

@@ -18,6 +18,7 @@ from .tokens import word_hashes
 
 MIN_WORDS = 50
 GRAM_WORDS = 20
+MOST_OPEN = 1000  # phrases of some 70 words that one automaton holds
 
 
 class SuffixAutomaton:
@@ -112,7 +113,7 @@ def _rest(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[int, in
 
 def plan(min_words: int = MIN_WORDS) -> Plan:
     return Plan(min_words, min(GRAM_WORDS, max(1, min_words // 2)), word_hashes, word_hashes, "u8",
-                _settle(min_words), _rest)
+                _settle(min_words), MOST_OPEN, _rest)
 
 
 def remove_repeated_words(docs: DataFrame, min_words: int = MIN_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:

@@ -20,6 +20,7 @@ from .tokens import BYTE_HASH
 
 MIN_BYTES = 50
 TRIGGER_BYTES = 20
+MOST_OPEN = 20_000  # phrases of some 31 suffixes that one array sorts
 
 
 def suffix_order(text: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -63,7 +64,7 @@ def _rest_of_characters(data: np.ndarray, start: np.ndarray, end: np.ndarray) ->
 
 def plan(min_bytes: int = MIN_BYTES, whole_characters: bool = False) -> Plan:
     return Plan(min_bytes, min(TRIGGER_BYTES, max(1, min_bytes // 2)), lambda b: BYTE_HASH[b], lambda b: b,
-                "u1", _settle(min_bytes), _rest_of_characters if whole_characters else _rest)
+                "u1", _settle(min_bytes), MOST_OPEN, _rest_of_characters if whole_characters else _rest)
 
 
 def remove_repeated_bytes(docs: DataFrame, min_bytes: int = MIN_BYTES, carry: tuple[str, ...] = (),
