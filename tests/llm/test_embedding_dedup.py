@@ -47,3 +47,17 @@ def test_vectors(spark):
     assert sum(got[n].component_id == want[n] for n in nodes) >= 0.97 * len(nodes)
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
     assert near_duplicate_vectors(df.where("false")).count() == 0
+
+
+def test_a_third_of_all_rows_are_perturbed_copies(spark):
+    rng = np.random.default_rng(4)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    copies = unit(rng.normal(size=64)) + rng.normal(size=(1000, 64)) * (1 / 0.94 - 1) ** 0.5 / 8
+    held = unit(rng.permutation(np.vstack([copies, rng.normal(size=(2000, 64))])))
+    near = held @ held.T >= COSINE
+    links = near.sum(axis=1) - 1
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(held)],
+                               "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in near_duplicate_vectors(df.repartition(4)).collect()}
+    assert all(got[i] <= links[i] for i in got)
+    assert sum(got.values()) >= 0.98 * links.sum() > 0

@@ -27,6 +27,9 @@ COSINE = 0.93
 NEAREST, SHARED = 8, 3
 #: Pivots: twice the square root of the number of vectors, within these bounds.
 FEWEST_PIVOTS, MOST_PIVOTS = 64, 4096
+#: Vectors drawn for each pivot wanted, and the cosines from which a pivot is too near another:
+#: the least that leaves half of the pivots wanted, else the last.
+DRAWN, TOO_NEAR = 3, (0.7, 0.8, 0.9)
 BLOCK = 2048  # vectors of a list that one task compares with as many others
 
 VECTORS = "vec_id long, label string, held binary, one long, two long"
@@ -127,14 +130,31 @@ def _tiles(at: np.ndarray, block: np.ndarray, a: int, b: int) -> Iterator[tuple[
             yield left[i: i + 256], right[j: j + 256]
 
 
+def _apart(drawn: np.ndarray, wanted: int) -> np.ndarray:
+    """Vectors of ``drawn``, in order, that are not too near one taken before.
+
+    Drawn in proportion to the data, pivots would crowd in a large group of near copies, and
+    noise would decide which of them are nearest to its members.
+    """
+    for limit in TOO_NEAR:
+        taken, n = np.empty((min(wanted, len(drawn)), drawn.shape[1])), 0
+        for v in drawn:
+            if n < len(taken) and (taken[:n] @ v < limit).all():
+                taken[n] = v
+                n += 1
+        if 2 * n >= len(taken):
+            break
+    return taken[:n]
+
+
 def _pivots(nodes: DataFrame, total: int) -> dict[int, np.ndarray]:
-    """A bounded sample of vectors: those with least hash of their id."""
+    """A bounded sample of vectors: those with least hash of their id that lie apart."""
     wanted = min(MOST_PIVOTS, max(FEWEST_PIVOTS, int(2 * total ** 0.5)))
     by_size: dict[int, list[np.ndarray]] = {}
-    for r in nodes.orderBy(F.xxhash64("node"), "node").limit(wanted).select("held").collect():
+    for r in nodes.orderBy(F.xxhash64("node"), "node").limit(DRAWN * wanted).select("held").collect():
         v = np.frombuffer(bytes(r.held))
         by_size.setdefault(len(v), []).append(v)
-    return {n: np.stack(v) for n, v in by_size.items()}
+    return {n: _apart(np.stack(v), wanted) for n, v in by_size.items()}
 
 
 def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
