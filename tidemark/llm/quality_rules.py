@@ -2,8 +2,8 @@
 
 One pass over the texts makes a small row of counts per document.  The counts of all
 documents that pass the base rules, summed by language, are that language's reference; a
-document is rejected if the Jensen-Shannon distance of either histogram is too large and it
-is long enough to tell.
+document is rejected if the Jensen-Shannon distance of either histogram is too large for its
+length and it is long enough to tell.
 """
 
 from __future__ import annotations
@@ -24,8 +24,10 @@ REPEAT_WORDS = 8
 REPEAT_PERCENT = 30
 #: Documents with fewer words are not judged by their histograms.
 GUARD_WORDS = 60
-#: Largest Jensen-Shannon distances (0 to 1) of a document that is kept.
-MOST_CHARS, MOST_WORDS = 0.31, 0.55
+#: Largest Jensen-Shannon distances (0 to 1) of a document that is kept: (a, b) stands for
+#: a + b / sqrt(n_words).  The second part allows for the noise of a short sample, which falls
+#: with the root of its length; the first for texts that differ from their language's average.
+MOST_CHARS, MOST_WORDS = (0.16, 1.2), (0.1, 2.8)
 
 SYMBOLS = b"#*$%&|<>"
 # Frequent short words of each language, one histogram class each.
@@ -127,7 +129,8 @@ def judge(docs: DataFrame) -> DataFrame:
     char_distance, word_distance, kept).  Words are runs of anything but ASCII white space.
     ``base_failed``: under 20 words, or over 30 % of them in 8-word windows found twice.
     ``kept``: the base rules hold, and for texts of at least ``GUARD_WORDS`` words both
-    distances are at most ``MOST_CHARS`` and ``MOST_WORDS``.  Documents without a language
+    distances are at most ``MOST_CHARS`` and ``MOST_WORDS``, which fall with the text's length.
+    Documents without a language
     have a reference of their own, as has each language.  A null text has no words; a null
     doc_id stays null; repeated rows count each time; an empty table gives an empty one.
     """
@@ -149,7 +152,8 @@ def judge(docs: DataFrame) -> DataFrame:
     judged = (met.withColumn("base_failed", failed)
               .withColumn("char_distance", _distance(F.col("chars"), F.col("n_chars"), F.col("lang_chars")))
               .withColumn("word_distance", _distance(F.col("commons"), F.col("n_words"), F.col("lang_commons"))))
+    most = lambda c: c[0] + c[1] / F.sqrt("n_words")
     far = (F.col("n_words") >= GUARD_WORDS) & (
-        (F.col("char_distance") > MOST_CHARS) | (F.col("word_distance") > MOST_WORDS))
+        (F.col("char_distance") > most(MOST_CHARS)) | (F.col("word_distance") > most(MOST_WORDS)))
     return judged.withColumn("kept", ~F.col("base_failed") & ~far).drop(
         "n_chars", "chars", "commons", "lang_chars", "lang_commons")
