@@ -1,4 +1,4 @@
-from tidemark.llm.url_filters import RULES, judge_urls
+from tidemark.llm.url_filters import RULES, judge_urls, links_in
 
 
 def test_urls(spark):
@@ -34,3 +34,20 @@ def test_urls(spark):
     more = spark.createDataFrame([("http://hub.net/", "http://o.org/")], "source string, target string")
     assert {r.page_id: r.verdict for r in judge_urls(df, RULES, more).collect()}[21] == "allow"
     assert judge_urls(df.where("false")).count() == 0
+
+
+def test_relative_links_and_ampersands(spark):
+    link = "<link rel=canonical href='{}'>".format
+    rows = [(1, "http://a.net/x/y.html", "p.html"), (2, "http://a.net/x/y.html?n=1", "?id=7&amp;k=2"),
+            (3, "http://a.net/x/y/z", "../../q/./r/.."), (4, "http://a.net", "s"), (5, "http://a.net/x/", "/go?u=http://b.net/"),
+            (6, "http://a.net/x/", "mailto:me@b.net"), (7, "http://a.net/x/", "#top"), (8, "http://a.net/x", "../../../t"),
+            (9, "http://a.net/x/", "https://B.net/c?d&amp;e#f"), (10, "http://a.net/x/", "//b.net")]
+    df = spark.createDataFrame([(i, u, link(t)) for i, u, t in rows], "page_id long, url string, html string")
+    got = {(r.source, r.target) for r in links_in(df).collect()}
+    assert got == {
+        ("a.net/x/y.html", "a.net/x/p.html"), ("a.net/x/y.html?n=1", "a.net/x/y.html?id=7&k=2"),
+        ("a.net/x/y/z", "a.net/q/"), ("a.net/", "a.net/s"), ("a.net/x/", "a.net/go?u=http://b.net/"),
+        ("a.net/x", "a.net/t"), ("a.net/x/", "b.net/c?d&e"), ("a.net/x/", "b.net/")}
+    blocked = spark.createDataFrame([(1, "http://u.com/de/1?a&b", ""), (2, "http://u.com/x/1", link("../de/1?a&amp;b")),
+                                     (3, "http://u.com/x/2", link("1"))], "page_id long, url string, html string")
+    assert {r.verdict for r in judge_urls(blocked).collect()} == {"block"}

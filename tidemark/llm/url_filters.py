@@ -57,8 +57,35 @@ def matching_rule(rules: tuple[tuple[str, str], ...], at_host: Column, at_path:
     return found
 
 
+def _without_dots(at_path: Column) -> Column:
+    """A path that starts with ``/`` with its ``.`` and ``..`` parts resolved."""
+    parts = F.split(at_path, "/", -1)
+    dot = lambda x: x.isin(".", "..")
+    left = F.aggregate(F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"), lambda held, x: (
+        F.when(x == "..", F.slice(held, 1, F.greatest(F.size(held) - 1, F.lit(0))))
+        .when(x == ".", held).otherwise(F.concat(held, F.array(x)))))
+    last = F.when(dot(F.element_at(parts, -1)), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.concat(F.lit("/"), F.array_join(F.concat(left, last), "/"))
+
+
+def resolved(url: Column, to: Column) -> Column:
+    """The url that ``to`` means on the page ``url``; null if it names no page (``mailto:x``)."""
+    here = F.when(path(url) == "", "/").otherwise(path(url))
+    to_path, rest = F.regexp_extract(to, r"(?s)^([^?#]*)", 1), F.regexp_extract(to, r"(?s)^[^?#]*(.*)$", 1)
+    base = F.when(to_path.startswith("/"), "").otherwise(F.regexp_extract(here, r"(?s)^(.*/)", 1))
+    there = F.when(to_path == "", here).otherwise(_without_dots(F.concat(base, to_path)))
+    scheme = F.substring_index(url, "://", 1)
+    return (F.when(to.startswith("//"), F.concat(scheme, F.lit(":"), to))
+            .when(to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), to)
+            .when(~to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") & ~to.startswith("#"),
+                  F.concat(scheme, F.lit("://"), host(url), there, rest)))
+
+
 def links_in(pages: DataFrame) -> DataFrame:
-    """(source, target) addresses of canonical links and refresh redirects in ``html``."""
+    """(source, target) addresses of canonical links and refresh redirects in ``html``.
+
+    Targets are resolved against the page's url, and ``&amp;`` in them is read as ``&``.
+    """
     def found(hint: str, pattern: str) -> Column:
         return F.when(F.lower("html").contains(hint), F.regexp_extract_all("html", F.lit(pattern), 1))
 
@@ -66,10 +93,7 @@ def links_in(pages: DataFrame) -> DataFrame:
     each = pages.where(base.isNotNull()).select("url", F.explode(F.concat(
         F.coalesce(found("canonical", CANONICAL), F.array()),
         F.coalesce(found("refresh", REFRESH), F.array()))).alias("to"))
-    scheme = F.substring_index("url", "://", 1)
-    whole = (F.when(F.col("to").contains("://"), F.col("to"))
-             .when(F.col("to").startswith("//"), F.concat(scheme, F.lit(":"), F.col("to")))
-             .when(F.col("to").startswith("/"), F.concat(scheme, F.lit("://"), host(F.col("url")), F.col("to"))))
+    whole = resolved(F.col("url"), F.replace(F.col("to"), F.lit("&amp;"), F.lit("&")))
     return each.select(address(F.col("url")).alias("source"), address(whole).alias("target")).dropna()
 
 
