@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import toxicity, url_filters
+from . import byte_bpe, toxicity, url_filters
 from .embedding_dedup import near_duplicate_vectors
 from .line_dedup import remove_repeated_lines
 from .minhash import near_duplicates
@@ -23,6 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 PIECE_MODEL = "piece_bpe_32k.model"
 WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,8 +89,15 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = byte_bpe.encode_and_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_RANKS))
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_sentencepiece, op2_embedding_dedup, op3_minhash_dedup, op4_quality_rules, op5_line_dedup, op6_toxicity,
-    op7_best_fit_packing, op8_substring_dedup, op9_url_filters, op10_suffix_array_dedup)}
+    op7_best_fit_packing, op8_substring_dedup, op9_url_filters, op10_suffix_array_dedup,
+    op11_byte_bpe)}
 
 ORACLE_SQL: dict[str, str] = {"op9_url_filters": url_filters.judge_sql()}
