@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, toxicity, url_filters
+from . import byte_bpe, sql, toxicity, url_filters
 from .embedding_dedup import near_duplicate_vectors
 from .line_dedup import remove_repeated_lines
 from .minhash import near_duplicates
 from .packing import pack
+from .prefix_trie import prefix_trie, turn_sequences, with_shared_heads
 from .quality_rules import judge
 from .sentencepiece_bpe import encode_and_decode
 from .shipping import ship
@@ -95,9 +96,15 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sequences = turn_sequences(table(spark, sf_dir, "conversations"))
+    heads = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).cast("int")
+    return prefix_trie(with_shared_heads(sequences, heads))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_sentencepiece, op2_embedding_dedup, op3_minhash_dedup, op4_quality_rules, op5_line_dedup, op6_toxicity,
     op7_best_fit_packing, op8_substring_dedup, op9_url_filters, op10_suffix_array_dedup,
-    op11_byte_bpe)}
+    op11_byte_bpe, op12_prefix_trie)}
 
-ORACLE_SQL: dict[str, str] = {"op9_url_filters": url_filters.judge_sql()}
+ORACLE_SQL: dict[str, str] = {"op9_url_filters": url_filters.judge_sql(), "op12_prefix_trie": sql.PREFIX_TRIE}
