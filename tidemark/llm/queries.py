@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import byte_bpe, sql, toxicity, url_filters
+from .collocations import collocations
 from .embedding_dedup import near_duplicate_vectors
 from .line_dedup import remove_repeated_lines
 from .minhash import near_duplicates
@@ -102,9 +103,14 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(with_shared_heads(sequences, heads))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_sentencepiece, op2_embedding_dedup, op3_minhash_dedup, op4_quality_rules, op5_line_dedup, op6_toxicity,
     op7_best_fit_packing, op8_substring_dedup, op9_url_filters, op10_suffix_array_dedup,
-    op11_byte_bpe, op12_prefix_trie)}
+    op11_byte_bpe, op12_prefix_trie, op13_collocations)}
 
-ORACLE_SQL: dict[str, str] = {"op9_url_filters": url_filters.judge_sql(), "op12_prefix_trie": sql.PREFIX_TRIE}
+ORACLE_SQL: dict[str, str] = {"op9_url_filters": url_filters.judge_sql(), "op12_prefix_trie": sql.PREFIX_TRIE,
+                              "op13_collocations": sql.COLLOCATIONS}

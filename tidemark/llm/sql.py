@@ -37,3 +37,35 @@ JOIN below b ON b.depth = n.depth AND b.node = n.node
 LEFT JOIN kids k ON k.depth = n.depth AND k.node = n.node
 LEFT JOIN node p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.node = n.node[1:n.depth - 1]
 """
+
+COLLOCATIONS = """
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+spoken AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM piece),
+gram AS (
+  SELECT lang, w[i:i + k - 1] AS g, k
+  FROM spoken, unnest([1, 2, 3]) AS ks(k), unnest(range(1, len(w) - k + 2)) AS r(i)),
+f AS (SELECT lang, g, k, count(*) AS n FROM gram GROUP BY ALL),
+total AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cut AS (
+  SELECT c.lang, c.g, c.k, c.n AS a, p AS place, l.n AS l, r.n AS r,
+         (1000000::HUGEINT * c.n * c.n // (l.n::HUGEINT * r.n))::BIGINT AS score
+  FROM f c, unnest(range(1, c.k)) AS ps(p)
+  JOIN f l ON l.lang = c.lang AND l.g = c.g[1:p]
+  JOIN f r ON r.lang = c.lang AND r.g = c.g[p + 1:]
+  WHERE c.k >= 2 AND c.n >= 10),
+scored AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, place) = 1),
+inner_most AS (
+  SELECT lang, g[i:i + 1] AS g, max(n) AS most
+  FROM f, unnest([1, 2]) AS r(i) WHERE k = 3 AND n >= 10 GROUP BY ALL)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, list_aggregate(s.g, 'string_agg', ' '))
+         AS rank, list_aggregate(s.g, 'string_agg', ' ') AS phrase, a, l, r, t.n, score
+FROM scored s JOIN total t ON t.lang = s.lang
+LEFT JOIN inner_most m ON m.lang = s.lang AND m.g = s.g
+WHERE m.most IS NULL OR 100 * m.most < 50 * a
+QUALIFY rank <= 2000
+"""
