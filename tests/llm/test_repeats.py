@@ -119,3 +119,35 @@ def test_windows_of_crowded_grams(spark, most):
     words, octets = (replace(p, most_open=most) for p in (substring_dedup.plan(20), suffix_array_dedup.plan(50)))
     assert result(repeats.remove_repeats(frame(spark, rows), words)) == expected(rows, 20, bytes.split, b" ".join)
     assert result(repeats.remove_repeats(frame(spark, rows), octets)) == expected(rows, 50, list, bytes)
+
+
+@pytest.mark.parametrize("width", [300, 1000])
+def test_wide_windows(spark, width):
+    """Phrases of more than 255 windows."""
+    rng = random.Random(width)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(3))
+    shared = " ".join(word() for _ in range(1500))
+    rows = [(d, " ".join([word() for _ in range(20 * d)] + [shared[d: 5000 - d]] + [word() for _ in range(9)]), "x", 1)
+            for d in range(4)]
+    assert result(remove_repeated_bytes(frame(spark, rows), width)) == expected(rows, width, list, bytes)
+    assert result(remove_repeated_words(frame(spark, rows), width)) == expected(rows, width, bytes.split, b" ".join)
+    with pytest.raises(ValueError, match="65535"):
+        remove_repeated_bytes(frame(spark, rows), 70_000)
+
+
+def test_carried_columns_of_any_name_and_one_id_on_many_rows(spark):
+    names = ["kept", "starts", "ends", "n_removed", "n_tokens", "carried", "mark", "shard", "ids", "data", "a.b"]
+    rng = random.Random(2)
+    shared = " ".join(str(rng.random()) for _ in range(20))
+    rows = [(7 if d % 3 else d, f"{d} {shared} {d}", "x", 1) for d in range(200)]
+    df = frame(spark, rows).select("doc_id", "text", *[F.lit(n).alias(n) for n in names])
+    out = remove_repeated_bytes(df, 50, tuple(names), within="row")
+    assert result(out) == expected(rows, 50, list, bytes)
+    assert {tuple(r.row) for r in out.select("row").collect()} == {tuple(names)}
+    shards = df.withColumn("mark", F.hash("text")).select(repeats._text_shard_column(21).alias("s")).distinct().count()
+    assert shards > 10
+    told = df.withColumn("mark", F.hash("text")).select("doc_id", "mark", repeats._text_shard_column(21).alias("s"))
+    for r in told.collect():
+        assert repeats._text_shard(np.array([r.doc_id]), np.array([r.mark], np.int32), 21)[0] == r.s
+    with pytest.raises(ValueError, match="kept"):
+        remove_repeated_bytes(df, 50, ("kept",))

@@ -30,17 +30,20 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tokens import U, mix, prefix_sums, spans_hash, texts_of
 
 SHARD_BYTES = 8 << 20
-FLUSH = 1_000_000  # phrases held by a map task before they are packed
-
-PLACE = np.dtype([("row", "<u4"), ("start", "<u4"), ("count", "<u1")])
-ASKED = np.dtype([("gram", "<u8"), ("phrase", "<u8"), ("row", "<u4"), ("start", "<u4"), ("count", "<u1")])
-OPEN = np.dtype([("gram", "<u8"), ("row", "<u4"), ("start", "<u4"), ("count", "<u1")])
+FLUSH = 1_000_000  # phrases held by a map task before they are packed, 30 bytes each
+BATCH_BYTES = 8 << 20
+
+# A phrase has at most window - gram + 1 windows; WIDEST keeps their count within two bytes.
+PLACE = np.dtype([("row", "<u4"), ("start", "<u4"), ("count", "<u2")])
+ASKED = np.dtype([("gram", "<u8"), ("phrase", "<u8"), ("row", "<u4"), ("start", "<u4"), ("count", "<u2")])
+OPEN = np.dtype([("gram", "<u8"), ("row", "<u4"), ("start", "<u4"), ("count", "<u2")])
+WIDEST = 65_535
 WINDOW = np.dtype([("one", "<u8"), ("two", "<u8"), ("row", "<u4"), ("start", "<u4")])
 PACKED = "shard int, kind int, ids binary, marks binary, data binary"
 
@@ -108,11 +111,20 @@ def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _rows(parts: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    parts = list(parts)
-    if parts:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in
-                                          zip(zip(*parts, strict=True), schema.types, strict=True)],
-                                         schema=schema)
+    """Batches of rows, each of some ``BATCH_BYTES``."""
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*held, strict=True), schema.types, strict=True)], schema=schema)
+
+    held, size = [], 0
+    for row in parts:
+        held.append(row)
+        size += sum(len(x) for x in row if isinstance(x, bytes))
+        if size >= BATCH_BYTES:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
 
 
 PACKED_ARROW = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("ids", pa.binary()),
@@ -160,8 +172,19 @@ def _unpack(table: pa.Table, kind: int, dtype: np.dtype) -> tuple[np.ndarray, np
     return ids[order][new], marks[order][new], data
 
 
-def _text_shard(ids: np.ndarray, n: int) -> np.ndarray:
-    return (ids % n).astype(np.int32)
+# A text's shard is a linear hash of its id and mark, the same here and in Spark.
+_PRIME, _BY_ID, _BY_MARK = (1 << 31) - 1, 1_103_515_245, 1_812_433_253
+
+
+def _text_shard(ids: np.ndarray, marks: np.ndarray, n: int) -> np.ndarray:
+    spread = (ids % _PRIME) * _BY_ID + (marks.astype(np.int64) % _PRIME) * _BY_MARK
+    return (spread % _PRIME % n).astype(np.int32)
+
+
+def _text_shard_column(n: int) -> Column:
+    key, mark = F.coalesce(F.col("doc_id"), F.col("mark").cast("long")), F.col("mark").cast("long")
+    spread = F.pmod(key, F.lit(_PRIME)) * _BY_ID + F.pmod(mark, F.lit(_PRIME)) * _BY_MARK
+    return F.pmod(F.pmod(spread, F.lit(_PRIME)), F.lit(n)).cast("int")
 
 
 def _equal_runs(*keys: np.ndarray) -> np.ndarray:
@@ -172,34 +195,37 @@ def _equal_runs(*keys: np.ndarray) -> np.ndarray:
     return np.cumsum(new)
 
 
-def _ask(plan: Plan, n: int) -> Callable:
-    """Step 1 for the batches of a task."""
+def _ask(plan: Plan, n: int, texts: int = 0) -> Callable:
+    """Step 1 for the batches of a task, for n shards of grams and so many (n) of texts."""
+    texts = texts or n
+
     def flush(held: list, ids: list, marks: list) -> Iterator[pa.RecordBatch]:
         ids, marks = np.array(ids, np.int64), np.array(marks, np.int32)
         if not held:
             return
         by_id = np.lexsort((marks, ids))
-        rank = np.empty(len(ids), np.int64)
+        rank = np.empty(len(ids), np.uint32)
         rank[by_id] = np.arange(len(ids))
         ids, marks = ids[by_id], marks[by_id]
-        gram, phrase, start, count = (np.concatenate(c) for c in zip(*[h[1:] for h in held], strict=True))
-        row = np.repeat(rank[[h[0] for h in held]], [len(h[1]) for h in held])
-        order = np.lexsort((row, gram ^ (phrase * U(0x9E3779B97F4A7C15))))
-        gram, phrase, start, count, row = (x[order] for x in (gram, phrase, start, count, row))
-        run = _equal_runs(gram, phrase)
-        first = ids[row[np.flatnonzero(np.concatenate([[True], np.diff(run) != 0]))]][run]
-        later = ids[row] > first
+        asked = np.empty(sum(len(h[1]) for h in held), ASKED)
+        asked["row"] = np.repeat(rank[[h[0] for h in held]], [len(h[1]) for h in held])
+        for c, name in enumerate(("gram", "phrase", "start", "count"), 1):
+            np.concatenate([h[c] for h in held], out=asked[name], casting="unsafe")
+        held.clear()
+        asked = asked[np.lexsort((asked["row"], asked["gram"] ^ (asked["phrase"] * U(0x9E3779B97F4A7C15))))]
+        run = _equal_runs(asked["gram"], asked["phrase"])
+        first = ids[asked["row"][np.flatnonzero(np.concatenate([[True], np.diff(run) != 0]))]][run]
+        later = ids[asked["row"]] > first
+        del run, first
         known = np.zeros(int(later.sum()), PLACE)
-        known["row"], known["start"], known["count"] = row[later], start[later], count[later]
-        now = ~later
-        asked = np.zeros(int(now.sum()), ASKED)
-        asked["gram"], asked["phrase"] = gram[now], phrase[now]
-        asked["row"], asked["start"], asked["count"] = row[now], start[now], count[now]
-        out = list(_deal((asked["gram"] % U(n)).astype(np.int32), 0, ids, marks, asked))
+        for c in PLACE.names:
+            known[c] = asked[c][later]
+        asked = asked[~later]
+        yield from _rows(_deal((asked["gram"] % U(n)).astype(np.int32), 0, ids, marks, asked), PACKED_ARROW)
         if len(known):
             # Dealt by text, and passed on unread by the shards of grams.
-            out += _deal(_text_shard(ids, n)[known["row"]], 1, ids, marks, known)
-        yield from _rows(out, PACKED_ARROW)
+            of = _text_shard(ids, marks, texts)[known["row"]]
+            yield from _rows(_deal(of, 1, ids, marks, known), PACKED_ARROW)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, ids, marks, size = [], [], [], 0
@@ -208,7 +234,7 @@ def _ask(plan: Plan, n: int) -> Callable:
                                        texts_of(batch.column("text")), strict=True):
                 found = phrases(plan.hashes(data), plan.window, plan.gram)
                 if len(found[0]) and key is not None:
-                    held.append((len(ids), *found))
+                    held.append((len(ids), *found[:2], found[2].astype("<u4"), found[3].astype("<u2")))
                     ids.append(key)
                     marks.append(mark)
                     size += len(found[0])
@@ -216,11 +242,12 @@ def _ask(plan: Plan, n: int) -> Callable:
                     yield from flush(held, ids, marks)
                     held, ids, marks, size = [], [], [], 0
         yield from flush(held, ids, marks)
+        pa.default_memory_pool().release_unused()  # the worker may go on to another stage
 
     return run
 
 
-def _compare(plan: Plan, n: int) -> Callable:
+def _compare(plan: Plan, texts: int) -> Callable:
     """Step 2 for one shard of grams: (kind 1) settled places, (kind 2) open phrases, (kind 3)
     open phrases of grams that have more than ``most_open``."""
     def run(table: pa.Table) -> pa.Table:
@@ -244,7 +271,7 @@ def _compare(plan: Plan, n: int) -> Callable:
             low = np.minimum.reduceat(ids[asked["row"]], start)[by_gram]
             high = np.maximum.reduceat(ids[asked["row"]], start)[by_gram]
             many &= low < high
-            of = _text_shard(ids, n)
+            of = _text_shard(ids, marks, texts)
             known = np.zeros(int(settled.sum()), PLACE)
             for c in ("row", "start", "count"):
                 known[c] = asked[c][settled]
@@ -279,7 +306,7 @@ def _later(found: np.ndarray) -> np.ndarray:
     return known
 
 
-def _windows(plan: Plan, n: int, held: dict[tuple[int, int], np.ndarray], places: pa.Table) -> Iterator[tuple]:
+def _windows(plan: Plan, n: int, of_texts: int, held: dict[tuple[int, int], np.ndarray], places: pa.Table) -> Iterator[tuple]:
     """(kind 3) The first copy in this shard of texts of each window of crowded grams; later
     ones are settled (kind 1) at once."""
     ids, marks, asked = _unpack(places, 3, OPEN)
@@ -300,16 +327,16 @@ def _windows(plan: Plan, n: int, held: dict[tuple[int, int], np.ndarray], places
     found, later = _first_windows(ids, np.concatenate(parts))
     known, found = _later(found[later]), found[~later]
     if len(known):
-        yield from _deal(_text_shard(ids, n)[known["row"]], 1, ids, marks, known)
+        yield from _deal(_text_shard(ids, marks, of_texts)[known["row"]], 1, ids, marks, known)
     yield from _deal((found["one"] % U(n)).astype(np.int32), 3, ids, marks, found)
 
 
-def _fetch(plan: Plan, n: int) -> Callable:
+def _fetch(plan: Plan, n: int, of_texts: int) -> Callable:
     """Step 3a for one shard of texts: the tokens of its open phrases, by shard of grams, and
     the windows of the phrases of crowded grams, by shard of window hashes."""
     def run(texts: pa.Table, places: pa.Table) -> pa.Table:
         held = _texts(texts)
-        out = list(_windows(plan, n, held, places))
+        out = list(_windows(plan, n, of_texts, held, places))
         ids, marks, asked = _unpack(places, 2, OPEN)
         if len(asked):
             asked = asked[np.argsort(asked["row"], kind="stable")]
@@ -330,7 +357,7 @@ def _fetch(plan: Plan, n: int) -> Callable:
     return run
 
 
-def _settle(plan: Plan, n: int) -> Callable:
+def _settle(plan: Plan, texts: int) -> Callable:
     """Step 3b for one shard of grams and of window hashes: windows of open phrases that start
     in an earlier text."""
     def run(table: pa.Table) -> pa.Table:
@@ -343,7 +370,7 @@ def _settle(plan: Plan, n: int) -> Callable:
         if len(found):
             found, later = _first_windows(ids, found)
             known = _later(found[later])
-            out += _deal(_text_shard(ids, n)[known["row"]], 1, ids, marks, known)
+            out += _deal(_text_shard(ids, marks, texts)[known["row"]], 1, ids, marks, known)
         out += compared(table.filter(pc.equal(table["kind"], 2)))
         return pa.Table.from_batches(list(_rows(out, PACKED_ARROW)), PACKED_ARROW)
 
@@ -373,7 +400,7 @@ def _settle(plan: Plan, n: int) -> Callable:
         found["row"] = heads["row"][of[hit]]
         found["start"] = (heads["start"][of] + inner)[hit]
         found["count"] = 1
-        return _deal(_text_shard(ids, n)[found["row"]], 1, ids, marks, found) if len(found) else []
+        return _deal(_text_shard(ids, marks, texts)[found["row"]], 1, ids, marks, found) if len(found) else []
 
     return run
 
@@ -384,28 +411,34 @@ KEPT_ARROW = pa.schema([
 KEPT = "doc_id long, n_tokens long, n_removed long, kept binary, starts array<long>, ends array<long>"
 
 
-def remove_repeats(docs: DataFrame, plan: Plan, carry: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, plan: Plan, carry: tuple[str, ...] = (), within: str | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): what is left of it and the spans removed.
 
     ``kept`` holds what ``plan.rest`` makes of the tokens left; ``starts`` and ``ends`` are the
     removed spans in tokens, sorted and joined.  They cover exactly the windows that also
-    start in a row with a smaller doc_id.  Columns named in ``carry`` are passed through as
-    they are.  A null text is an empty one; a row with a null doc_id stays whole.
+    start in a row with a smaller doc_id.  Columns named in ``carry`` are passed through: as they are,
+    or in a struct named ``within``, when they may also have names of the result's columns.  All
+    others are not read.  A null text is an empty one; a row with a null doc_id stays whole.
     """
+    clash = {c.split()[0] for c in KEPT.split(", ")}.intersection([within] if within else carry)
+    if clash:
+        raise ValueError(f"carried columns have names of the result's: {sorted(clash)}")
+    if not plan.gram <= plan.window <= WIDEST:
+        raise ValueError(f"windows of {plan.gram} to {WIDEST} tokens are supported, not {plan.window}")
     spark = docs.sparkSession
     n = shards(spark, docs)
-    named = [f"carried_{i}" for i in range(len(carry))]
+    texts = 4 * n | 1  # smaller ones: their tasks hold whole texts
+    carried = [f"carried_{i}" for i in range(len(carry))]
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"),
-                       *[docs[c].alias(a) for c, a in zip(carry, named, strict=True)])
+                       *[docs[f"`{c}`"].alias(a) for c, a in zip(carry, carried, strict=True)])
     base = base.withColumn("mark", F.hash("text"))
-    places = (base.select("doc_id", "mark", "text").mapInArrow(_ask(plan, n), PACKED)
-              .groupBy("shard").applyInArrow(_compare(plan, n), PACKED))
-    shard = F.pmod(F.coalesce("doc_id", "mark"), F.lit(n)).cast("int")
-    by_shard = base.withColumn("shard", shard).groupBy("shard")
+    places = (base.select("doc_id", "mark", "text").mapInArrow(_ask(plan, n, texts), PACKED)
+              .groupBy("shard").applyInArrow(_compare(plan, texts), PACKED))
+    by_shard = base.withColumn("shard", _text_shard_column(texts)).groupBy("shard")
     late = (by_shard.cogroup(places.where("kind > 1").groupBy("shard"))
-            .applyInArrow(_fetch(plan, n), PACKED)
-            .groupBy("shard").applyInArrow(_settle(plan, n), PACKED))
+            .applyInArrow(_fetch(plan, n, texts), PACKED)
+            .groupBy("shard").applyInArrow(_settle(plan, texts), PACKED))
     known = places.where("kind = 1").unionByName(late)
 
     def finish(texts: pa.Table, table: pa.Table) -> pa.Table:
@@ -422,10 +455,11 @@ def remove_repeats(docs: DataFrame, plan: Plan, carry: tuple[str, ...] = ()) ->
             start, end = merged(start, start + part["count"] + plan.window - 1)
             rows.append((key, *plan.rest(data, start, end), start.tolist(), end.tolist()))
         out = pa.Table.from_batches(list(_rows(rows, KEPT_ARROW)), KEPT_ARROW)
-        for a in named:
+        for a in carried:
             out = out.append_column(a, texts[a])
         return out
 
-    kinds = "".join(f", {a} {docs.schema[c].dataType.simpleString()}" for c, a in zip(carry, named, strict=True))
+    kinds = "".join(f", {a} {base.schema[a].dataType.simpleString()}" for a in carried)
     out = by_shard.cogroup(known.groupBy("shard")).applyInArrow(finish, KEPT + kinds)
-    return out.withColumnsRenamed(dict(zip(named, carry, strict=True))) if carry else out
+    passed = [F.col(a).alias(c) for c, a in zip(carry, carried, strict=True)]
+    return out.select(*KEPT_ARROW.names, *([F.struct(*passed).alias(within)] if carry and within else passed))

@@ -137,7 +137,7 @@ class Vocabulary:
         return out
 
     def decode(self, ids: list[list[int]]) -> list[str]:
-        return self.library.decode(ids)
+        return self.library.decode(ids, num_threads=1)
 
 
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*")

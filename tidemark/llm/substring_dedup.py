@@ -116,13 +116,16 @@ def plan(min_words: int = MIN_WORDS) -> Plan:
                 _settle(min_words), MOST_OPEN, _rest)
 
 
-def remove_repeated_words(docs: DataFrame, min_words: int = MIN_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeated_words(docs: DataFrame, min_words: int = MIN_WORDS, carry: tuple[str, ...] = (),
+                          within: str | None = None) -> DataFrame:
     """Each row of (doc_id, text) without the words that an earlier document holds too.
 
     A word goes if a window of ``min_words`` words that covers it also starts in a row with a
     smaller doc_id; windows are judged on the input.  ``kept`` holds the words left, joined by
     one space; a word counts as equal if its 64-bit hash is.  A null text counts as empty; a
     null doc_id has no order, so its row stays whole; repeated rows (same doc_id) never remove
-    each other.  Shorter texts stay; an empty table gives an empty one.
+    each other.  Shorter texts stay, texts of any length are read whole, ``min_words`` is at most
+    65,535; an empty table gives an empty one.  Columns in ``carry`` come back as they are, in a
+    struct if ``within`` names one (then they may have any names); others are not read.
     """
-    return remove_repeats(docs, plan(min_words), carry)
+    return remove_repeats(docs, plan(min_words), carry, within)

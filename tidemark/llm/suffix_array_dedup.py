@@ -68,14 +68,16 @@ def plan(min_bytes: int = MIN_BYTES, whole_characters: bool = False) -> Plan:
 
 
 def remove_repeated_bytes(docs: DataFrame, min_bytes: int = MIN_BYTES, carry: tuple[str, ...] = (),
-                          whole_characters: bool = False) -> DataFrame:
+                          whole_characters: bool = False, within: str | None = None) -> DataFrame:
     """Each row of (doc_id, text) without the bytes that an earlier document holds too.
 
     A byte goes if a string of ``min_bytes`` bytes that covers it also starts in a row with a
     smaller doc_id.  Strings never cross rows and are judged on the input.  Returns the
     columns of :data:`repeats.KEPT` (``kept`` in bytes, which may end inside a character unless
-    ``whole_characters`` takes the rest of such characters away too) and those in ``carry``.  A null text counts as empty; a null doc_id has no order, so its row
-    stays whole; repeated rows (same doc_id) never remove each other.  Texts shorter than
-    ``min_bytes`` stay; an empty table gives an empty one.
+    ``whole_characters`` takes the rest of such characters away too) and those in
+    ``carry``, in a struct if ``within`` names one (then they may have any names); other columns
+    are not read.  A null text counts as empty; a null doc_id has no order, so its row stays whole; repeated
+    rows (same doc_id) never remove each other.  Texts shorter than ``min_bytes`` stay, texts of
+    any length are read whole, ``min_bytes`` is at most 65,535; an empty table gives an empty one.
     """
-    return remove_repeats(docs, plan(min_bytes, whole_characters), carry)
+    return remove_repeats(docs, plan(min_bytes, whole_characters), carry, within)

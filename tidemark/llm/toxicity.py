@@ -10,12 +10,12 @@ from __future__ import annotations
 import math
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bounds of the labelled sample that the lexicon is learned from.
@@ -156,7 +156,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
              for k, n in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))]
     drawn = F.broadcast(drawn[0].unionByName(drawn[1]))  # two short columns of 4,500 rows at most
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .where(F.length("text") <= LONGEST_TEXT).join(drawn, "doc_id").collect())
+            .where(F.length("text") <= LONGEST_TEXT).join(drawn, "doc_id")
+            .groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # one row where a doc_id is repeated
+            .collect())
     rows = sorted(((r.doc_id, fold(r.text), r.toxic) for r in rows))[: TOXIC_ROWS + CLEAN_ROWS]
     toxic, clean = ([t for _, t, y in rows if y == k] for k in (1, 0))
     if not toxic or not clean:
@@ -173,28 +175,33 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
                    float(w[-1]) + bias - math.log(drawn_share / (1 - drawn_share)))
 
 
-def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """``docs`` with toxic_score (0 to 1) and toxic_hits of its column ``text``.
-
-    A null or empty text has no hits and so the lexicon's least score but for negative
-    weights; repeated rows score alike; an empty table gives an empty one.  Other columns are
-    passed through; columns with the two names are replaced.
-    """
-    kept = docs.drop("toxic_score", "toxic_hits")
-    names = kept.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def scorer(lexicon: Lexicon) -> Callable[[Column], Column]:
+    """What makes a struct (score, hits) of a column of texts; only the texts go to Python."""
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         matcher = Matcher(lexicon.terms, lexicon.exceptions)
-        for batch in batches:
+        for batch in texts:
             scores, hits = [], []
-            for text in batch.column(names.index("text")):
+            for text in batch:
                 found, n = matcher.rates(text.as_py())
                 z = lexicon.bias + sum(lexicon.weights[i] * v for i, v in found.items())
                 scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
                 hits.append(n)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores, pa.float64()), pa.array(hits, pa.int64())],
-                names=[*names, "toxic_score", "toxic_hits"])
+            yield pa.StructArray.from_arrays(
+                [pa.array(scores, pa.float64()), pa.array(hits, pa.int64())], names=["score", "hits"])
+
+    return F.arrow_udf(run, "score double, hits long")
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(run, f"{kinds}, toxic_score double, toxic_hits long")
+
+def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """``docs`` with toxic_score (0 to 1) and toxic_hits of its column ``text``.
+
+    A null or empty text has no hits and so the lexicon's least score but for negative
+    weights; repeated rows score alike; an empty table gives an empty one.  Texts are scored
+    whole, however long.  Other columns are passed through; columns with the two names are
+    replaced (:func:`scorer` takes and gives columns without names of its own).
+    """
+    told = scorer(lexicon)(F.col("text"))
+    names = docs.drop("toxic_score", "toxic_hits").columns
+    return (docs.select(*[F.col(f"`{c}`") for c in names], told.alias("toxic_score"))
+            .select(*[F.col(f"`{c}`") for c in names], F.col("toxic_score.score").alias("toxic_score"),
+                    F.col("toxic_score.hits").alias("toxic_hits")))
