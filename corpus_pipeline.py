@@ -30,12 +30,12 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose score, learned from the labelled ones, says toxic."""
     ship(spark)
     lexicon = toxic.learn(docs, table(spark, sf_dir, "labels"))
-    return toxic.score(docs, lexicon).where(F.col("toxic_score") < TOXIC).select(*docs.columns)
+    return docs.where(toxic.scorer(lexicon)(F.col("text"))["score"] < TOXIC)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes line runs that an earlier place holds; every document stays."""
-    return _counted(remove_repeated_lines(docs).select(*docs.columns))
+    return _counted(remove_repeated_lines(docs, counts=False))
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +53,10 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     Where a run ends inside a character, the rest of that character goes too.
     """
     ship(spark)
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    out = remove_repeated_bytes(docs, carry=others, whole_characters=True)
-    return _counted(out.withColumn("text", F.col("kept").cast("string")).select(*docs.columns))
+    others = tuple(c for c in docs.columns if c != "text")
+    out = remove_repeated_bytes(docs, carry=others, whole_characters=True, within="row")
+    return _counted(out.select(*[F.col("kept").cast("string").alias(c) if c == "text"
+                                 else F.col("row").getField(c).alias(c) for c in docs.columns]))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
