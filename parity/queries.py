@@ -179,12 +179,13 @@ def key_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 def asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every listing row with the host version of its day, from the full host history."""
     clean = build.table(house(spark, sf_dir), "silver.listings")
-    versions = Scratch(spark, "asof")(
-        star.dim_host(history.host_history(clean)), "host_versions")
+    scratch = Scratch(spark, "asof")
+    versions = scratch(star.dim_host(history.host_history(clean)), "host_versions")
     rows = clean.select("listing_row_id", "host_id", "scraped_date")
-    return star.asof_join(rows, versions, F.col("host_id"), "host_id", "scraped_date", {
+    hot = scratch(star.hot_keys(rows, F.col("host_id")), "hot_hosts")
+    return star.asof_carry(rows, versions, F.col("host_id"), "host_id", "scraped_date", {
         "host_is_superhost": "host_is_superhost", "host_neighbourhood": "version_neighbourhood",
-        "valid_from": "version_from"})
+        "valid_from": "version_from"}, hot)
 
 
 def fact_listings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -198,3 +198,24 @@ def test_group_without_active_rows(spark, star_tables):
     assert got.total_stays == 0 and got.median_price is None
     assert got.avg_estimated_revenue_per_active_listing is None
     assert got.active_listings_rate == Decimal("0.00")
+
+
+def test_exact_median_brackets_many_values(spark):
+    """Several groups, null keys, negative and wide-spread values; one group is most of the rows."""
+    rng = random.Random(3)
+    rows = [(g, Decimal(rng.randint(-10**rng.randint(1, 11), 10**rng.randint(1, 11))).scaleb(-2))
+            for g in ["a"] * 3000 + ["b", "b", "c", None, None, None] * 20]
+    df = spark.createDataFrame(rows, "g string, v decimal(12,2)")
+    got = {r.g: r.m for r in measures.exact_median(df, ["g"], "v", "m").collect()}
+    for g in ("a", "b", "c", None):
+        assert got[g] == cents(statistics.median([v for k, v in rows if k == g]))
+
+
+@pytest.mark.parametrize("value", ["0.00", "9.99", "10.00", "999.99", "1000.00", "-12.34", "9999999999.99"])
+def test_leading_digits_never_fall(spark, value):
+    around = sorted(Decimal(value) + Decimal(d).scaleb(-2) for d in range(-30, 31))
+    around = [v for v in around if abs(v) < 10**10]
+    df = spark.createDataFrame([(v,) for v in around], "v decimal(12,2)")
+    out = df.orderBy("v").select(measures.leading_digits(F.col("v"), df.schema["v"].dataType).alias("b")).collect()
+    assert [r.b for r in out] == sorted(r.b for r in out)
+    assert all(len(str(abs(r.b)).rstrip("0")) <= 3 for r in out)

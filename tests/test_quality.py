@@ -1,7 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import quality as q
 from tidemark.plans.rules import ALL_RULES
+from tidemark.sources.store import Scratch
 
 
 @pytest.fixture(scope="module")
@@ -63,3 +65,25 @@ def test_suite_size():
     assert {k: kinds.count(k) for k in set(kinds)} == {
         q.UNIQUE: 7, q.NOT_NULL: 16, q.RELATIONSHIPS: 4, q.ACCEPTED_VALUES: 1,
         q.ACCEPTED_RANGE: 2, q.UNIQUE_COMBINATION: 7}
+
+
+@pytest.mark.parametrize("staged", [False, True])
+def test_values_that_share_a_fingerprint_are_told_apart(spark, monkeypatch, staged):
+    """Every value has the same first fingerprint: counts come from the values."""
+    monkeypatch.setattr(q, "_mark", lambda rule: F.when(F.col(rule.columns[0]).isNotNull(), F.lit(7).cast("long")))
+    df = spark.createDataFrame([("a",), ("a",), ("b",), ("c",), ("c",), (None,), (None,)], "x string")
+    parents = spark.createDataFrame([("a",), ("c",)], "y string")
+    rules = [q.unique("t", "x"), q.relationships("t", "x", "p", "y")]
+    stage = Scratch(spark, "repeated") if staged else None
+    got = q.dq_report({"t": df, "p": parents}, rules, stage).collect()
+    assert {r.rule: r.violations for r in got} == {q.UNIQUE: 2, q.RELATIONSHIPS: 1}
+
+
+def test_unique_values_do_not_travel(spark):
+    """Of a table whose long values are all different but two, the shuffles carry fingerprints."""
+    df = Scratch(spark, "wide")(spark.range(20_000).select(
+        F.repeat(F.sha2(F.greatest("id", F.lit(1)).cast("string"), 256), 20).alias("x")), "t")
+    report = q.dq_report({"t": df}, [q.unique("t", "x")], Scratch(spark, "repeated"))
+    assert report.first().violations == 1
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan

@@ -7,7 +7,7 @@ uniqueness rules, each row for the others.  NULL passes every rule but ``not_nul
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -86,35 +86,65 @@ def _row_violations(df: DataFrame, rules: Mapping[int, Rule]) -> DataFrame:
         F.struct(F.lit(i).alias("rule_no"), F.col(f"n{i}").alias("violations")) for i in rules])))
 
 
+def _parts(rule: Rule) -> list[Column]:
+    """The checked columns as text: JSON would cut timestamps to milliseconds, and a child may
+    be of another type than its parent."""
+    return [F.col(c).cast("string").alias(c) for c in rule.columns]
+
+
 def _value(rule: Rule) -> Column:
     """The checked value as text; a combination as JSON, in which NULL is a value too."""
     if rule.kind == UNIQUE_COMBINATION:
-        # As text first: JSON would cut timestamps to milliseconds.
-        parts = [F.col(c).cast("string").alias(c) for c in rule.columns]
-        return F.to_json(F.struct(*parts), {"ignoreNullFields": "false"})
-    return F.col(rule.columns[0]).cast("string")
+        return F.to_json(F.struct(*_parts(rule)), {"ignoreNullFields": "false"})
+    return _parts(rule)[0]
+
+
+def _mark(rule: Rule) -> Column:
+    """A 64-bit fingerprint of the checked value, NULL where NULL passes the rule."""
+    if rule.kind == UNIQUE_COMBINATION:
+        nulls = [F.isnull(c) for c in rule.columns]
+        return F.xxhash64(*nulls, *_parts(rule))
+    text = _parts(rule)[0]
+    return F.when(text.isNotNull(), F.xxhash64(text))
 
 
-def _values(df: DataFrame, rules: Mapping[int, Rule]) -> DataFrame:
-    """(rule_no, value) for every row and rule of a table, NULL left out."""
-    pairs = [F.struct(F.lit(i).alias("rule_no"), _value(r).alias("value"))
+def _spread(df: DataFrame, rules: Mapping[int, Rule], **columns: Callable[[Rule], Column]) -> DataFrame:
+    """(rule_no, ...) for every row and rule of a table, rows with a NULL in the first column
+    left out."""
+    cells = [F.struct(F.lit(i).alias("rule_no"), *[make(r).alias(n) for n, make in columns.items()])
              for i, r in rules.items()]
-    one = pairs[0] if len(pairs) == 1 else F.explode(F.array(*pairs))
-    return df.select(one.alias("pair")).select("pair.*").where("value IS NOT NULL")
+    one = cells[0] if len(cells) == 1 else F.explode(F.array(*cells))
+    return df.select(one.alias("cell")).select("cell.*").where(F.col(next(iter(columns))).isNotNull())
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def duplicates(tables: Mapping[str, DataFrame], rules: Mapping[int, Rule]) -> DataFrame:
-    """(rule_no, violations) of all uniqueness rules in one shuffle.
+def duplicates(tables: Mapping[str, DataFrame], rules: Mapping[int, Rule],
+               stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """(rule_no, violations) of all uniqueness rules.
 
-    Counting combines inside the map tasks, so a value with a third of all rows is one row
-    per task in the shuffle.
+    First only 64-bit fingerprints of the values are counted, in one shuffle for all rules.
+    Values whose fingerprint is not found twice are unique for sure and never travel.  The rest,
+    none in a sound table, are then counted as they are.  ``stage`` stores a frame and reads it
+    back: with it only tables of rules with repeated fingerprints are read again, and Spark knows
+    that these are few and sends them to the rows; without, the rows meet them in a shuffle.  Counting combines inside the map tasks, so a value
+    with a third of all rows is one row per task.
     """
-    values = _union([_values(tables[t], rs) for t, rs in _by_table(rules).items()])
-    counts = values.groupBy("rule_no", "value").agg(F.count(F.lit(1)).alias("n"))
+    by_table = _by_table(rules)
+    marks = _union([_spread(tables[t], rs, mark=_mark) for t, rs in by_table.items()])
+    repeated = (marks.groupBy("rule_no", "mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                .select("rule_no", "mark"))
+    if stage:
+        repeated = stage(repeated, "repeated")
+        hit = {r.rule_no for r in repeated.select("rule_no").distinct().collect()}  # at most one row per rule
+        by_table = _by_table({i: r for i, r in rules.items() if i in hit})
+        if not hit:
+            return repeated.select("rule_no", F.lit(0).cast("long").alias("violations"))
+    values = _union([_spread(tables[t], rs, mark=_mark, value=_value) for t, rs in by_table.items()])
+    counts = (values.join(repeated, ["rule_no", "mark"], "left_semi")
+              .groupBy("rule_no", "value").agg(F.count(F.lit(1)).alias("n")))
     return counts.groupBy("rule_no").agg(F.count_if(F.col("n") > 1).alias("violations"))
 
 
@@ -122,16 +152,19 @@ def orphans(tables: Mapping[str, DataFrame], rules: Mapping[int, Rule]) -> DataF
     """(rule_no, violations) of all relationship rules in one shuffle.
 
     Child values (counted) and parent values (marked) meet in one grouping by rule and
-    value, so no child row is ever joined.
+    value, so no child row is ever joined.  Values travel as two 64-bit fingerprints: two
+    different ones agree in both with a chance of 1 in 10**14 among 10**12 values.
     """
-    children = _union([_values(tables[t], rs) for t, rs in _by_table(rules).items()])
+    def second(rule: Rule) -> Column:
+        return F.xxhash64(F.lit(1), _parts(rule)[0])
+
+    children = _union([_spread(tables[t], rs, mark=_mark, other=second) for t, rs in _by_table(rules).items()])
     parents = _union([
-        tables[r.parent].select(F.lit(i).alias("rule_no"),
-                                F.col(r.parent_column).cast("string").alias("value"))
+        _spread(tables[r.parent], {i: unique(r.parent, r.parent_column)}, mark=_mark, other=second)
         for i, r in rules.items()])
     both = children.withColumn("child", F.lit(1)).unionByName(
         parents.withColumn("child", F.lit(0)))
-    values = both.groupBy("rule_no", "value").agg(
+    values = both.groupBy("rule_no", "mark", "other").agg(
         F.sum("child").alias("n"), F.min("child").alias("lost"))
     lost = F.when(F.col("lost") == 1, F.col("n")).otherwise(0)
     return values.groupBy("rule_no").agg(F.sum(lost).alias("violations"))
@@ -144,11 +177,13 @@ def _by_table(rules: Mapping[int, Rule]) -> dict[str, dict[int, Rule]]:
     return tables
 
 
-def dq_report(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
+def dq_report(tables: Mapping[str, DataFrame], rules: Sequence[Rule],
+              stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """One row per rule: table_name, rule, column_name, violations, passed.
 
-    Row-level rules take one scan per table; all uniqueness rules share one shuffle, and
-    all relationships another.
+    Row-level rules take one scan per table; all uniqueness rules share one shuffle of
+    fingerprints, and all relationships another.  ``stage`` is for :func:`duplicates`; without
+    it the report is lazy.
     """
     numbered = dict(enumerate(rules))
 
@@ -159,7 +194,7 @@ def dq_report(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFra
     parts = [_row_violations(tables[t], rs) for t, rs in
              _by_table(of(NOT_NULL, ACCEPTED_VALUES, ACCEPTED_RANGE)).items()]
     if unique_rules:
-        parts.append(duplicates(tables, unique_rules))
+        parts.append(duplicates(tables, unique_rules, stage))
     if parent_rules:
         parts.append(orphans(tables, parent_rules))
     spark = next(iter(tables.values())).sparkSession

@@ -20,6 +20,10 @@ UNKNOWN_LGA = {"lga_code": "0", "lga_name": "Unknown", "lga_name_upper": "UNKNOW
 UNKNOWN_SUBURB = {"suburb_name": "UNKNOWN", "lga_name": "UNKNOWN"}
 
 
+#: Facts of one key that one task sorts, about.
+PART_ROWS = 4_000_000
+
+
 # ---- dimensions ---------------------------------------------------------------------
 
 
@@ -88,6 +92,61 @@ def asof_join(facts: DataFrame, versions: DataFrame, fact_key: Column, version_k
     return facts.join(right, hit, "left").drop("_key", "_from", "_to")
 
 
+def hot_keys(facts: DataFrame, key: Column, part_rows: int = PART_ROWS) -> DataFrame:
+    """(key, parts) of keys with more than ``part_rows`` facts: in how many parts to deal them.
+
+    There are fewer of these than ``part_rows`` goes into the number of facts.  Counting combines
+    in the map tasks, so no fact row is shuffled.
+    """
+    n = F.count(F.lit(1))
+    return (facts.where(key.isNotNull()).groupBy(key.alias("_hot")).agg(n.alias("n")).where(F.col("n") > part_rows)
+            .select("_hot", F.ceil(F.col("n") / part_rows).cast("int").alias("_parts")))
+
+
+def asof_carry(facts: DataFrame, versions: DataFrame, fact_key: Column, version_key: str, at: str,
+               carry: dict[str, str], hot: DataFrame | None = None) -> DataFrame:
+    """The result of :func:`asof_join` by carrying the last version forward in time.
+
+    Facts and versions are put together, sorted once by key and time, and a window carries the
+    latest version on to the facts after it.  So the work on a key grows with its facts plus
+    its versions, not with their product as where a join tests the range of every version.
+
+    ``hot`` (see :func:`hot_keys`; best stored, so that Spark knows its size) deals the facts
+    of a hot key to several parts, each with all versions of the key.  Versions of a key must
+    not overlap; of several that start together the one that ends last counts.  A fact without
+    key or date has no version and is not sorted.
+    """
+    names = list(carry.values())
+    day = F.col(at).cast("timestamp_ntz")
+    version = F.struct(*[F.col(c).alias(n) for c, n in carry.items()])
+    rows = facts.select(F.struct(*[F.col(f"`{c}`") for c in facts.columns]).alias("_fact"), fact_key.alias("_key"),
+                        day.alias("_time"))
+    usable = F.col("_key").isNotNull() & F.col("_time").isNotNull()
+    lone, rows = rows.where(~usable), rows.where(usable)
+    known = versions.select(F.col(version_key).alias("_key"), F.col("valid_from").alias("_time"),
+                            F.coalesce("valid_to", ntz(OPEN_END)).alias("_to"), version.alias("_version"))
+    one = F.lit(0)
+    if hot is not None:
+        many = F.coalesce("_parts", F.lit(1))
+        rows = (rows.join(hot, F.col("_key") == F.col("_hot"), "left")
+                .withColumn("_part", F.pmod(F.xxhash64("_fact"), many).cast("int")).drop("_hot", "_parts"))
+        known = (known.join(hot, F.col("_key") == F.col("_hot"), "left")
+                 .withColumn("_part", F.explode(F.sequence(F.lit(0), many - 1))).drop("_hot", "_parts"))
+    else:
+        rows, known = rows.withColumn("_part", one), known.withColumn("_part", one)
+    both = known.unionByName(rows, allowMissingColumns=True)
+    # A version that starts on the day of a fact comes before it.
+    in_time = (Window.partitionBy("_key", "_part").orderBy("_time", F.col("_fact").isNotNull(), "_to")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    started = F.when(F.col("_fact").isNull(), F.struct("_to", "_version"))
+    met = both.withColumn("_last", F.last(started, ignorenulls=True).over(in_time)).where(F.col("_fact").isNotNull())
+    valid = F.col("_time") < F.col("_last._to")
+    kinds = {n: versions.schema[c].dataType for c, n in carry.items()}
+    own = [F.col("_fact").getField(c).alias(c) for c in facts.columns]
+    return (met.select(*own, *[F.when(valid, F.col("_last._version").getField(n)).alias(n) for n in names])
+            .unionByName(lone.select(*own, *[F.lit(None).cast(kinds[n]).alias(n) for n in names])))
+
+
 def resolve_key(facts: DataFrame, key: str, members: DataFrame, unknown: object,
                 stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """Replace keys that are no member, and NULL, by ``unknown``.

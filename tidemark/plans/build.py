@@ -146,4 +146,5 @@ def register_views(house: Warehouse, prefix: str = "") -> list[str]:
 def quality_report(house: Warehouse, rules=ALL_RULES) -> DataFrame:
     """The suite over a build, one row per rule."""
     used = {r.table for r in rules} | {r.parent for r in rules if r.parent}
-    return quality.dq_report({t: table(house, t) for t in sorted(used)}, rules)
+    return quality.dq_report({t: table(house, t) for t in sorted(used)}, rules,
+                             stage=Scratch(house.spark, "quality"))
