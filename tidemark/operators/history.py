@@ -9,6 +9,7 @@ The windows that follow hold at most one row per month of an entity.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +26,17 @@ def _nulls_last(columns: Sequence[str]) -> list[Column]:
     return fields
 
 
+def monthly_rows(rows: DataFrame, key: str, month: str, date: str, order: Sequence[str],
+                 attributes: Sequence[str], empty: Column | None = None) -> DataFrame:
+    """One row per (key, month): ``first_date``, and ``best``, its first row by ``order`` that is
+    not ``empty``, with ``best.is_gap`` where all are.  Combined inside each map task."""
+    gap = F.lit(False) if empty is None else empty
+    best = F.struct(gap.alias("is_gap"), *_nulls_last(order), *attributes)
+    return (rows.where(F.col(key).isNotNull())
+            .groupBy(key, month)
+            .agg(F.min(date).alias("first_date"), F.min(best).alias("best")))
+
+
 def monthly_collapse(rows: DataFrame, key: str, month: str, date: str, order: Sequence[str],
                      attributes: Sequence[str], empty: Column | None = None) -> DataFrame:
     """One row per (key, month): the attributes of its first row by ``order``.
@@ -36,25 +48,26 @@ def monthly_collapse(rows: DataFrame, key: str, month: str, date: str, order: Se
     An all-empty month is one whose best row is empty, since empty rows sort last; so one
     ``min`` of a struct gives both the row and the flag, without joining rows to flags.
     """
-    gap = F.lit(False) if empty is None else empty
-    best = F.struct(gap.alias("is_gap"), *_nulls_last(order), *attributes)
-    monthly = (
-        rows.where(F.col(key).isNotNull())
-        .groupBy(key, month)
-        .agg(F.min(date).alias("first_date"), F.min(best).alias("best"))
-    )
+    monthly = monthly_rows(rows, key, month, date, order, attributes, empty)
     if empty is not None:
-        # Ordered by month although a minimum needs no order: number_versions then finds
-        # the rows sorted as it wants them.
-        whole = (Window.partitionBy(key).orderBy(F.col(month).asc_nulls_last())
-                 .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        always = F.min(F.col("best.is_gap")).over(whole)
-        monthly = (monthly.withColumn("always_gap", always)
-                   .where(~F.col("best.is_gap") | F.col("always_gap")))
+        monthly = _without_gaps(monthly, key, month)
     return monthly.select(key, month, "first_date",
                           *[F.col(f"best.{a}").alias(a) for a in attributes])
 
 
+def _without_gaps(monthly: DataFrame, key: str, month: str) -> DataFrame:
+    """Without all-empty months, unless a key has no others.
+
+    Ordered by month although a minimum needs no order: number_versions then finds the rows
+    sorted as it wants them.
+    """
+    whole = (Window.partitionBy(key).orderBy(F.col(month).asc_nulls_last())
+             .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    always = F.min(F.col("best.is_gap")).over(whole)
+    return (monthly.withColumn("always_gap", always)
+            .where(~F.col("best.is_gap") | F.col("always_gap")))
+
+
 def number_versions(monthly: DataFrame, key: str, month: str,
                     attributes: Sequence[str]) -> DataFrame:
     """``is_change`` against the previous kept month, and its running sum ``version_no``.
@@ -107,14 +120,101 @@ def batch_history(versions: DataFrame, key: str, month: str,
     )
 
 
+# ---- state that grows by the month ----------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Entity:
+    """What the history of an entity is made of (see :func:`monthly_collapse`)."""
+
+    key: str
+    order: tuple[str, ...]
+    attributes: tuple[str, ...]
+    empty: Column | None = None
+    #: Whether raw rows are shuffled as they are: one row per key and month leaves nothing to combine.
+    shuffle_rows: bool = False
+    month: str = "listing_month"
+    date: str = "scraped_date"
+
+
+def summary(rows: DataFrame, of: Entity) -> DataFrame:
+    """One row per key of a range of months: (key, is_gap, versions, first, last, month, updated_at).
+
+    ``first`` and ``last`` are the attributes of its first and last version, ``versions`` how
+    many there are, ``month`` the last month and ``updated_at`` the first date of the last
+    version; ``is_gap`` tells that all rows of the key are empty.  Summaries of ranges that
+    follow each other are joined by :func:`merged`, in any grouping.
+    """
+    if of.shuffle_rows:
+        rows = rows.repartition(of.key)
+    monthly = _without_gaps(
+        monthly_rows(rows, of.key, of.month, of.date, of.order, of.attributes, of.empty), of.key, of.month)
+    monthly = monthly.select(of.key, of.month, "first_date", F.col("best.is_gap").alias("is_gap"),
+                             *[F.col(f"best.{a}").alias(a) for a in of.attributes])
+    versions = number_versions(monthly, of.key, of.month, of.attributes)
+    held = F.struct(*of.attributes)
+    undated = F.col(of.month).isNull()
+    last = F.max("version_no").over(Window.partitionBy(of.key))
+    ranked = versions.withColumn("last_no", last)
+    return (ranked.groupBy(of.key)
+            .agg(F.min("is_gap").alias("is_gap"), F.max("version_no").alias("versions"),
+                 F.min(F.struct(undated, of.month, held.alias("held"))).alias("first"),
+                 F.max(F.struct(undated, of.month, held.alias("held"))).alias("last"),
+                 F.min(F.when(F.col("version_no") == F.col("last_no"), F.col("first_date"))).alias("updated_at"))
+            .select(of.key, "is_gap", F.col("versions").cast("long").alias("versions"), F.col("first.held").alias("first"),
+                    F.col("last.held").alias("last"), F.col(f"last.{of.month}").alias("month"), "updated_at"))
+
+
+def merged(before: DataFrame, after: DataFrame, of: Entity) -> DataFrame:
+    """The summary of two ranges of months of which ``after`` follows ``before``.
+
+    A key with rows in both keeps its versions; the last one before and the first one after are
+    the same if their attributes are.  Empty months count only while a key has no others.  One
+    row per key and side: the one join cannot be skewed.
+    """
+    fields = ("is_gap", "versions", "first", "last", "month", "updated_at")
+    both = (before.select(F.col(of.key).alias("_a"), F.struct(*fields).alias("a"))
+            .join(after.select(F.col(of.key).alias("_b"), F.struct(*fields).alias("b")),
+                  F.col("_a") == F.col("_b"), "full"))
+    a, b = F.col("a"), F.col("b")
+    same = a["last"].eqNullSafe(b["first"])
+    together = F.struct(
+        b["is_gap"].alias("is_gap"), (a["versions"] + b["versions"] - F.when(same, 1).otherwise(0)).alias("versions"),
+        a["first"].alias("first"), b["last"].alias("last"), b["month"].alias("month"),
+        F.when(same & (b["versions"] == 1), F.least(a["updated_at"], b["updated_at"]))
+        .otherwise(b["updated_at"]).alias("updated_at"))
+    kept = (F.when(b.isNull() | (b["is_gap"] & ~a["is_gap"]), a)
+            .when(a.isNull() | (a["is_gap"] & ~b["is_gap"]), b).otherwise(together))
+    return (both.select(F.coalesce("_a", "_b").alias(of.key), kept.alias("kept"))
+            .select(of.key, *[F.col(f"kept.{f}").alias(f) for f in fields]))
+
+
+def latest(state: DataFrame, of: Entity) -> DataFrame:
+    """What :func:`latest_version` gives, from a summary of all months."""
+    return state.select(of.key, *[F.col(f"last.{a}").alias(a) for a in of.attributes],
+                        F.col("month").alias(of.month), "updated_at")
+
+
 # ---- hosts and listings -------------------------------------------------------------
 
 
+def no_host() -> Column:
+    """A scrape gap: the host's own columns are all empty."""
+    return (F.col("host_name").isNull() & F.col("host_since").isNull()
+            & F.col("host_is_superhost").isNull())
+
+
+def host_entity() -> Entity:
+    return Entity("host_id", ("scraped_date", "listing_id"), HOST_ATTRIBUTES, no_host())
+
+
+def listing_entity() -> Entity:
+    return Entity("listing_id", ("scraped_date",), LISTING_ATTRIBUTES, shuffle_rows=True)
+
+
 def host_monthly(listings: DataFrame) -> DataFrame:
-    gap = (F.col("host_name").isNull() & F.col("host_since").isNull()
-           & F.col("host_is_superhost").isNull())
     return monthly_collapse(listings, "host_id", "listing_month", "scraped_date",
-                            ["scraped_date", "listing_id"], HOST_ATTRIBUTES, gap)
+                            ["scraped_date", "listing_id"], HOST_ATTRIBUTES, no_host())
 
 
 def listing_monthly(listings: DataFrame) -> DataFrame:

@@ -22,16 +22,17 @@ def _differs(columns: Sequence[str]) -> Column:
 
 def snapshot_delta(open_versions: DataFrame | None, staged: DataFrame, key: str, *,
                    updated_at: str | None = None, check_cols: Sequence[str] | None = None,
-                   run_ts: datetime | str | None = None) -> DataFrame:
-    """Every version that is open, opened or closed by this run.
+                   run_ts: datetime | str | None = None, changes_only: bool = False) -> DataFrame:
+    """Every version that is open, opened or closed by this run, or with ``changes_only`` those
+    that it opened or closed.
 
     A key is changed when its ``updated_at`` is later than the open ``valid_from``
     (timestamp strategy), or when any of ``check_cols`` differs from the open version
     (check strategy, stamped with ``run_ts``).  The changed version ends where the new one
     begins.  Keys missing from ``staged`` stay open.
 
-    Both sides hold one row per key, so the only shuffle, a full join on the key, cannot
-    be skewed; one joined row gives its one or two result rows in place.
+    Both sides hold one row per key, so the only shuffle, a join on the key, cannot be
+    skewed; one joined row gives its one or two result rows in place.
     """
     if (updated_at is None) == (check_cols is None):
         raise ValueError("give either updated_at or check_cols")
@@ -51,14 +52,16 @@ def snapshot_delta(open_versions: DataFrame | None, staged: DataFrame, key: str,
         F.col(key).alias("held_key"), F.struct(*columns).alias("held"),
     ).join(
         fresh.select(F.col(key).alias("fresh_key"), F.struct(*columns).alias("fresh")),
-        F.col("held_key") == F.col("fresh_key"), "full",
+        F.col("held_key") == F.col("fresh_key"), "right" if changes_only else "full",
     )
     both = F.col("held").isNotNull() & F.col("fresh").isNotNull()
     changed = both & (F.col("held.valid_from") < F.col("fresh.valid_from") if updated_at
                       else _differs(check_cols))
     closed = F.struct(*[F.col("fresh.valid_from" if c == "valid_to" else f"held.{c}").alias(c)
                         for c in columns])
-    before = F.when(changed, closed).otherwise(F.col("held"))
+    before = F.when(changed, closed)
+    if not changes_only:
+        before = before.otherwise(F.col("held"))
     after = F.when(F.col("held").isNull() | changed, F.col("fresh"))
     return joined.select(F.inline(F.array_compact(F.array(before, after))))
 

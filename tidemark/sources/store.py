@@ -1,29 +1,56 @@
 """Built tables as parquet, one directory per build, made visible by a commit.
 
-    <root>/commits                          one row per finished build
-    <root>/<layer>.<table>/build=<n>        full rebuilds
-    <root>/<layer>.<snapshot>/build=<n>/is_open=<0|1>
-                                            history: versions closed by build n, and all
-                                            versions open after it
+    <root>/commits/<number>.json            one per finished build, in the order they finished
+    <root>/claims/<n>                       build numbers that were ever taken
+    <root>/<layer>.<table>/build=<n>        whole tables
+    <root>/<layer>.<table>/build=<n>/<month column>=<month>
+                                            monthly tables: the months that build n wrote
+    <root>/<layer>.<snapshot>/build=<n>/state=<closed|opened|open>
+                                            history: versions that build n closed, versions that
+                                            it opened, and now and then all that are open
 
 A build writes only its own directories and appends its commit last, so readers see the
 whole build or nothing, a failed build leaves the tables as they were, and nothing is ever
-overwritten while it is read.  Closed versions are written once and not copied again.
-One writer at a time is assumed, as builds are monthly.
+overwritten while it is read.  A monthly build writes only the months that it touched: a
+reader takes each month from the last build that wrote it.  Snapshots are a log of changes:
+a reader leaves out open versions that a later build closed; every ``COMPACT_EVERY`` builds
+the open versions are written whole, so the log stays short.  Closed versions are written once.
+
+Two writers may work at once.  They never share a directory, as each takes its build number
+by creating a file that must not exist yet.  The commit is such a file, too: its number is one
+more than the last that the writer saw, so whoever finishes second fails with
+:class:`ConcurrentBuild` and has changed nothing.
 """
 
 from __future__ import annotations
 
 import atexit
+import json
 import shutil
 import tempfile
 import uuid
-from datetime import datetime
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from datetime import date, datetime
+from itertools import count
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from py4j.java_gateway import JavaObject
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import month_start
+
+#: Monthly tables, and how the column that they are partitioned by makes the month.
+MONTHLY: dict[str, Callable[[], Column]] = {
+    "bronze.listings": lambda: month_start(F.col("source_month")),
+    "silver.listings": lambda: F.col("listing_month"),
+    "gold.fact_listings": lambda: F.col("listing_month"),
+}
+#: Builds after which the open versions of a snapshot are written whole again.
+COMPACT_EVERY = 12
+CLOSED, OPENED, OPEN = "closed", "opened", "open"
+
 _local_folders: dict[str, str] = {}
 
 
@@ -60,6 +87,79 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+class ConcurrentBuild(RuntimeError):
+    """Another build was finished since this one began; nothing was changed."""
+
+
+@dataclass(frozen=True)
+class Commit:
+    """A finished build.
+
+    ``months`` names the months that each monthly table got, None for all of them; a table that
+    is not named was not written.  ``whole`` tells that open versions were written whole,
+    ``through`` the last month of the listings, ``undated`` that some have no month.
+    """
+
+    build: int
+    run_ts: str
+    months: Mapping[str, tuple[date | None, ...] | None]
+    whole: bool = True
+    through: date | None = None
+    undated: bool = False
+
+    def text(self) -> str:
+        def plain(m: date | None) -> str | None:
+            return m and m.isoformat()
+
+        months = {t: ms if ms is None else [plain(m) for m in ms] for t, ms in self.months.items()}
+        return json.dumps(self.__dict__ | {"months": months, "through": plain(self.through)})
+
+    @classmethod
+    def of(cls, text: str) -> Commit:
+        def day(m: str | None) -> date | None:
+            return m and date.fromisoformat(m)
+
+        held = json.loads(text)
+        months = {t: ms if ms is None else tuple(day(m) for m in ms) for t, ms in held["months"].items()}
+        return cls(**held | {"months": months, "through": day(held["through"])})
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """The file system that Spark uses for a path, on the driver."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def _file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files of a folder, empty ones too, which Spark's readers pass over."""
+    files, target = _file_system(spark, folder)
+    return [f.getPath().getName() for f in files.listStatus(target)] if files.exists(target) else []
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file unless there is one, which Spark's writers have no step for."""
+    files, target = _file_system(spark, path)
+    files.mkdirs(target.getParent())
+    try:
+        out = files.create(target, False)
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def in_months(month: Column, months: Sequence[date | None]) -> Column:
+    """Whether a month is one of ``months``, among which None stands for no month."""
+    dated = [m for m in months if m is not None]
+    found = F.coalesce(month.isin(dated), F.lit(False)) if dated else F.lit(False)
+    return found | month.isNull() if None in months else found
+
+
 class Warehouse:
     """The tables of one finished build: the last one, unless ``build`` says otherwise.
 
@@ -70,30 +170,42 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str, build: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
-        done = self._finished()
-        self.builds = done if build is None else [b for b in done if b <= build]
+        self._last, done = self._finished()
+        if build is not None:
+            done = done[: [c.build for c in done].index(build) + 1 if build in [c.build for c in done] else 0]
+        self.commits = done
+        self.builds = [c.build for c in done]
         self._tables: dict[str, DataFrame] = {}
 
     # ---- commits ----
 
-    def _finished(self) -> list[int]:
-        """Numbers of the finished builds, oldest first (one row per build ever made)."""
-        try:
-            log = self.spark.read.schema("build int, run_ts timestamp_ntz").parquet(
-                f"{self.root}/commits")
-            return sorted(r.build for r in log.collect())
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return []
+    def _finished(self) -> tuple[int, list[Commit]]:
+        """The number of the last commit, and all finished builds, oldest first (one short line
+        per build ever made).  A file without a line is a commit that was broken off."""
+        names = _file_names(self.spark, f"{self.root}/commits")
+        if not names:
+            return 0, []
+        log = (self.spark.read.schema("value string").text(f"{self.root}/commits")
+               .select("value", F.input_file_name().alias("file")).collect())
+        log = sorted((int(r.file.rsplit("/", 1)[1].partition(".")[0]), r.value) for r in log if r.value)
+        return max(int(n.partition(".")[0]) for n in names), [Commit.of(v) for _, v in log]
 
     def next_build(self) -> int:
-        return self.builds[-1] + 1 if self.builds else 1
+        return max(self.builds, default=0) + 1
+
+    def claim(self) -> int:
+        """A build number that no other writer has or had."""
+        for n in count(self.next_build()):
+            if put_if_absent(self.spark, f"{self.root}/claims/{n}", uuid.uuid4().hex):
+                return n
+        raise AssertionError
 
-    def commit(self, build: int, run_ts: datetime) -> None:
-        row = self.spark.range(1, numPartitions=1).select(
-            F.lit(build).alias("build"), F.lit(str(run_ts)).cast("timestamp_ntz").alias("run_ts"))
-        row.write.mode("append").parquet(f"{self.root}/commits")
+    def commit(self, build: int, run_ts: datetime, months: Mapping[str, Sequence[date | None] | None] | None = None,
+               *, whole: bool = True, through: date | None = None, undated: bool = False) -> None:
+        done = Commit(build, str(run_ts), dict(months or {}), whole, through, undated)
+        if not put_if_absent(self.spark, f"{self.root}/commits/{self._last + 1:08d}.json", done.text()):
+            raise ConcurrentBuild(f"another build of {self.root} was finished after build "
+                                  f"{self.builds[-1] if self.builds else 0}; run this one again")
 
     # ---- tables ----
 
@@ -123,28 +235,64 @@ class Warehouse:
         if not self.builds:
             raise LookupError(f"no finished build in {self.root}")
         if table not in self._tables:
-            self._tables[table] = self.spark.read.parquet(self._path(table, self.builds[-1]))
+            self._tables[table] = (self.monthly(table) if table in MONTHLY else
+                                   self.spark.read.parquet(self._path(table, self.builds[-1])))
         return self._tables[table]
 
+    def monthly(self, table: str, now: tuple[int, Sequence[date | None]] | None = None) -> DataFrame:
+        """A monthly table, each month as the last build left it that wrote it; only directories
+        that count are read.  ``now`` adds the months of a build that is not finished yet."""
+        month = MONTHLY[table]()
+        log = [(c.build, c.months[table]) for c in self.commits if table in c.months]
+        log += [now] if now else []
+        whole = [i for i, (_, months) in enumerate(log) if months is None]
+        if not whole:
+            raise LookupError(f"no finished build in {self.root} has {table}")
+        base, later = log[whole[-1]][0], log[whole[-1] + 1:]
+        if not later:
+            return self.spark.read.parquet(self._path(table, base))
+        owner = {m: b for b, months in later for m in months}
+        rows = (F.col("build") == base) & ~in_months(month, list(owner))
+        for b in set(owner.values()):
+            rows = rows | (F.col("build") == b) & in_months(month, [m for m, o in owner.items() if o == b])
+        paths = [self._path(table, b) for b in sorted({base, *owner.values()})]
+        return self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*paths).where(rows).drop("build")
+
     # ---- snapshots ----
 
-    def write_snapshot(self, table: str, build: int, delta: DataFrame) -> None:
-        """Write the open and the newly closed versions of a build."""
-        is_open = F.when(F.col("valid_to").isNull(), 1).otherwise(0)
-        (delta.withColumn("is_open", is_open).write.mode("overwrite").partitionBy("is_open")
+    def snapshot_is_whole(self) -> bool:
+        """Whether the next build should write all open versions."""
+        since = [c.whole for c in reversed(self.commits)]
+        return not since or True not in since or since.index(True) >= COMPACT_EVERY - 1
+
+    def write_snapshot(self, table: str, build: int, changes: DataFrame, whole: bool = False) -> None:
+        """Write the versions that a build closed, and those that it opened, or all open ones."""
+        state = F.when(F.col("valid_to").isNotNull(), CLOSED).otherwise(OPEN if whole else OPENED)
+        (changes.withColumn("state", state).write.mode("overwrite").partitionBy("state")
          .parquet(self._path(table, build)))
 
-    def snapshot(self, table: str, builds: list[int] | None = None) -> DataFrame:
+    def _versions(self, table: str, builds: list[int], whole: bool | None) -> tuple[DataFrame, DataFrame]:
+        """Closed and open versions after the last of ``builds``; ``whole`` says what the last
+        one wrote if it is not finished yet."""
+        log = {c.build: c.whole for c in self.commits} | ({builds[-1]: whole} if whole is not None else {})
+        since = max((i for i, b in enumerate(builds) if log[b]), default=0)
+        held = self.spark.read.parquet(f"{self.root}/{table}")
+        build, state = F.col("build"), F.col("state")
+        closed = held.where((state == CLOSED) & build.isin(builds)).drop("build", "state")
+        live = (state == OPEN) & (build == builds[since])
+        later = builds[since + 1:]
+        if not later:
+            return closed, held.where(live).drop("build", "state")
+        opened = held.where(live | (state == OPENED) & build.isin(later)).drop("build", "state")
+        ended = held.where((state == CLOSED) & build.isin(later)).select("scd_id")
+        return closed, opened.join(ended, "scd_id", "left_anti").select(*opened.columns)
+
+    def snapshot(self, table: str, builds: list[int] | None = None, whole: bool | None = None) -> DataFrame:
         """The history after the last of ``builds``: pruned to the directories that matter."""
-        builds = builds or self.builds
-        part = F.col("build")
-        shown = F.when(F.col("is_open") == 1, part == builds[-1]).otherwise(part.isin(builds))
-        return (self.spark.read.parquet(f"{self.root}/{table}")
-                .where(shown).drop("build", "is_open"))
+        closed, live = self._versions(table, builds or self.builds, whole)
+        return closed.unionByName(live)
 
     def open_versions(self, table: str) -> DataFrame | None:
         if not self.builds:
             return None
-        return (self.spark.read.parquet(f"{self.root}/{table}")
-                .where((F.col("build") == self.builds[-1]) & (F.col("is_open") == 1))
-                .drop("build", "is_open"))
+        return self._versions(table, self.builds, None)[1]
