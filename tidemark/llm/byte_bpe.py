@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 
 from .perfect_hash import PerfectHash, Spans
 from .tokens import texts_of
+from .worker import begin, kept
 
 #: Misses of one generation kept by a Python worker with their ids (about 250 bytes each; there
 #: are two generations), and the longest of them in bytes.
@@ -205,7 +206,7 @@ def blocks(text: np.ndarray) -> list[np.ndarray]:
     return [*out, text[a:]]
 
 
-@lru_cache(maxsize=2)
+@kept
 def ranks_of(path: str) -> Ranks:
     return Ranks(path)
 
@@ -264,6 +265,7 @@ def _batches(keys: pa.Array, ids: Iterator[np.ndarray], v: Ranks, decoded: bool)
 
 def _encode(docs: DataFrame, ranks: str, decoded: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         v = ranks_of(ranks)
         for b in batches:
             if b.num_rows:
@@ -291,6 +293,7 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     """(doc_id, decoded) for each row of ``encoded`` (doc_id, ids): the bytes that the ids
     stand for.  Null ids give no bytes; an unknown id ends the job with a KeyError."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         v = ranks_of(ranks)
         for b in batches:
             texts = [v.decode(np.frombuffer(x.as_py() or b"", "<u4")) for x in b.column("ids")]

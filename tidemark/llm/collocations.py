@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 from tidemark.sources.store import Scratch
 
 from .tokens import BYTE_HASH, U, lower_ascii, mix, prefix_sums, spans_hash, texts_of
+from .worker import begin, release
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 #: Pointers or words held by a map task before they are made entries and sent.
-FLUSH = 1_000_000
+FLUSH = 700_000
 #: Entries of a shard, about, before equal phrases of different tasks meet.
 SHARD_ENTRIES = 1 << 20
 #: Bits for the frequent phrases of the length before: 8 for each, up to 64 MB in all.  Where
@@ -213,6 +214,7 @@ def counted(blobs: Iterator[tuple[int, bytes]], width: int) -> tuple[list[np.nda
 def _word_counts(salt: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """(hash, lang, word, n) of the words of a task; the empty word counts all words of a language."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         held: dict[int, list] = {}
         shared: list[tuple] = []  # words whose hash another word of the task has
 
@@ -240,12 +242,13 @@ def _word_counts(salt: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                     v[2] += k
                 else:
                     shared.append((h, names[i], raw[a:b], k))
-            if len(held) >= FLUSH // 2:
+            if len(held) >= FLUSH // 3:
                 yield flush()
                 held.clear()
                 shared.clear()
         if held:
             yield flush()
+        release()
 
     return run
 
@@ -307,6 +310,7 @@ def frequent_bits(grams: DataFrame, width: int, count: int) -> np.ndarray:
 def _pointers(known: Broadcast, salt: int, width: int, shards: int):
     """Blobs of entries of all phrases of ``width`` words both of whose parts may be frequent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         bits = known.value
         mask = U(len(bits) * 8 - 1)
         held: list[list[np.ndarray]] = []
@@ -333,6 +337,8 @@ def _pointers(known: Broadcast, salt: int, width: int, shards: int):
                 held, size = [], 0
         if held:
             yield from flush()
+        held.clear()
+        release()
 
     return run
 
@@ -342,6 +348,7 @@ def phrase_counts(docs: DataFrame, salt: int, width: int, known: np.ndarray, sha
     names = [f"c{k}" for k in range(width)]
 
     def count(shard: pa.Table) -> pa.Table:
+        begin(__name__)
         columns, n = counted(zip(shard.column("n").to_pylist(), shard.column("data").to_pylist(), strict=True), width)
         at, total = equal_partitions(columns, n, least)
         return pa.table([*[pa.array(c[at].view(np.int64)) for c in columns], pa.array(total)], [*names, "n"])

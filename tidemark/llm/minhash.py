@@ -26,6 +26,7 @@ from tidemark.sources.store import Scratch
 from .components import components
 from .local_groups import LocalGroups
 from .tokens import U, lower_ascii, mix, powers, texts_of, word_hashes
+from .worker import begin
 
 BANDS, ROWS = 24, 5
 MINIMA = 128
@@ -91,6 +92,7 @@ def _signature(low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _sketch(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         for batch in batches:
             rows = []
             for key, data in zip(batch.column("doc_id").to_pylist(), texts_of(batch.column("text")), strict=True):
@@ -111,6 +113,7 @@ def _sets(words: int):
     schema = pa.schema([("node", pa.int64()), ("held", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         for batch in batches:
             held = [shingles(data, words).tobytes() for data in texts_of(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("node").cast(pa.int64()), pa.array(held, pa.binary())],
@@ -122,6 +125,7 @@ def _confirm(percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         for batch in batches:
             good = []
             for x, y in zip(batch.column("held_a"), batch.column("held_b"), strict=True):

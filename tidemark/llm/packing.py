@@ -14,7 +14,6 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -22,6 +21,8 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.store import Scratch
 
+from .worker import begin, kept
+
 CAPACITY = 4096
 END_ID = 1
 #: Words kept by a Python worker with their packed ids (about 200 bytes each), per generation
@@ -162,7 +163,7 @@ class PackedIds(dict):
         return b"".join(map(self.__getitem__, _TOKENS.findall(text.lower())))
 
 
-@lru_cache(maxsize=2)
+@kept
 def packed_ids(path: str) -> PackedIds:
     return PackedIds(path)
 
@@ -175,6 +176,7 @@ _PIECES_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("star
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """The pieces of each row of ``docs`` (doc_id, text); see :func:`pack`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         ids_of = packed_ids(tokenizer).of
         end_id = END_ID.to_bytes(4, "little")

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tokens import U, mix, prefix_sums, spans_hash, texts_of
+from .worker import begin, release
 
 SHARD_BYTES = 8 << 20
 FLUSH = 1_000_000  # phrases held by a map task before they are packed, 30 bytes each
@@ -228,6 +229,7 @@ def _ask(plan: Plan, n: int, texts: int = 0) -> Callable:
             yield from _rows(_deal(of, 1, ids, marks, known), PACKED_ARROW)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         held, ids, marks, size = [], [], [], 0
         for batch in batches:
             for key, mark, data in zip(batch.column("doc_id").to_pylist(), batch.column("mark").to_pylist(),
@@ -242,7 +244,7 @@ def _ask(plan: Plan, n: int, texts: int = 0) -> Callable:
                     yield from flush(held, ids, marks)
                     held, ids, marks, size = [], [], [], 0
         yield from flush(held, ids, marks)
-        pa.default_memory_pool().release_unused()  # the worker may go on to another stage
+        release()
 
     return run
 
@@ -251,6 +253,7 @@ def _compare(plan: Plan, texts: int) -> Callable:
     """Step 2 for one shard of grams: (kind 1) settled places, (kind 2) open phrases, (kind 3)
     open phrases of grams that have more than ``most_open``."""
     def run(table: pa.Table) -> pa.Table:
+        begin(__name__)
         out = []
         for k, s, i, m, d in zip(table["kind"].to_pylist(), table["shard"].to_pylist(), table["ids"],
                                  table["marks"], table["data"], strict=True):
@@ -335,6 +338,7 @@ def _fetch(plan: Plan, n: int, of_texts: int) -> Callable:
     """Step 3a for one shard of texts: the tokens of its open phrases, by shard of grams, and
     the windows of the phrases of crowded grams, by shard of window hashes."""
     def run(texts: pa.Table, places: pa.Table) -> pa.Table:
+        begin(__name__)
         held = _texts(texts)
         out = list(_windows(plan, n, of_texts, held, places))
         ids, marks, asked = _unpack(places, 2, OPEN)
@@ -361,6 +365,7 @@ def _settle(plan: Plan, texts: int) -> Callable:
     """Step 3b for one shard of grams and of window hashes: windows of open phrases that start
     in an earlier text."""
     def run(table: pa.Table) -> pa.Table:
+        begin(__name__)
         out = []
         for k, s, i, m, d in zip(table["kind"].to_pylist(), table["shard"].to_pylist(), table["ids"],
                                  table["marks"], table["data"], strict=True):
@@ -442,6 +447,7 @@ def remove_repeats(docs: DataFrame, plan: Plan, carry: tuple[str, ...] = (), wit
     known = places.where("kind = 1").unionByName(late)
 
     def finish(texts: pa.Table, table: pa.Table) -> pa.Table:
+        begin(__name__)
         ids, marks, found = _unpack(table, 1, PLACE)
         found = found[np.argsort(found["row"], kind="stable")]
         at = np.searchsorted(found["row"], np.arange(len(ids) + 1))

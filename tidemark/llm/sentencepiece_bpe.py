@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .worker import begin, kept
+
 MARK = "▁"
 #: Words of one generation kept by a Python worker with their ids (about 250 bytes each; there
 #: are two generations), and the longest of them.
@@ -143,7 +144,7 @@ class Vocabulary:
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*")
 
 
-@lru_cache(maxsize=2)
+@kept
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
@@ -163,6 +164,7 @@ def encode_and_decode(docs: DataFrame, model: str) -> DataFrame:
     repeated rows; an empty table gives an empty one.  ``model`` is a path on every worker.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         v = vocabulary(model)
         text_of = [str(i) for i in range(v.library.get_piece_size())].__getitem__
         for batch in batches:

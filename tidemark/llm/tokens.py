@@ -43,6 +43,12 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers, _inverse
 
 
+def forget_powers() -> None:
+    """Drops the tables of :func:`powers`, which are as long as the longest text met."""
+    global _powers, _inverse
+    _powers, _inverse = np.ones(1, dtype=U), np.ones(1, dtype=U)
+
+
 def prefix_sums(tokens: np.ndarray) -> np.ndarray:
     """Sums from which :func:`spans_hash` takes the hash of any span of tokens."""
     up, _ = powers(len(tokens) + 1)

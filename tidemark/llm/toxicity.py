@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .worker import begin
+
 #: Bounds of the labelled sample that the lexicon is learned from.
 TOXIC_ROWS, CLEAN_ROWS, LONGEST_TEXT = 1500, 3000, 20_000
 MAX_TERMS = 200
@@ -178,6 +180,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
 def scorer(lexicon: Lexicon) -> Callable[[Column], Column]:
     """What makes a struct (score, hits) of a column of texts; only the texts go to Python."""
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        begin(__name__)
         matcher = Matcher(lexicon.terms, lexicon.exceptions)
         for batch in texts:
             scores, hits = [], []
