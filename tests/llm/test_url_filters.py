@@ -1,3 +1,5 @@
+import time
+
 from tidemark.llm.url_filters import RULES, judge_urls, links_in
 
 
@@ -51,3 +53,16 @@ def test_relative_links_and_ampersands(spark):
     blocked = spark.createDataFrame([(1, "http://u.com/de/1?a&b", ""), (2, "http://u.com/x/1", link("../de/1?a&amp;b")),
                                      (3, "http://u.com/x/2", link("1"))], "page_id long, url string, html string")
     assert {r.verdict for r in judge_urls(blocked).collect()} == {"block"}
+
+
+def test_long_pages(spark):
+    """5 MB of unclosed tags, of one tag, and of closed ones: a page is read once."""
+    tail = "<link rel=canonical href=/there>"
+    pages = [("<link rel=canonical " * 250_000), "<meta " + "x=1 " * 1_250_000 + ">",
+             "<link rel=stylesheet href=a>" * 180_000, "<meta http-equiv=refresh content='" * 150_000]
+    df = spark.createDataFrame([(i, f"http://a{i}.net/", h + ">" + tail) for i, h in enumerate(pages)],
+                               "page_id long, url string, html string")
+    start = time.time()
+    got = sorted((r.source, r.target) for r in links_in(df).collect())
+    assert got == [(f"a{i}.net/", f"a{i}.net/there") for i in range(4)]
+    assert time.time() - start < 60

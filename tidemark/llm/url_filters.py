@@ -20,10 +20,13 @@ RULES = (
     ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
     ("allow", "com/fr/"), ("block", "com/de/"),
 )
-# The two tags whatever the order of their attributes; the part kept is the address.
-CANONICAL = (r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)")
-REFRESH = (r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*\bcontent\s*=\s*"
-           r"[\"'][^\"'>]*\burl\s*=\s*([^\"'\s>]+)")
+# Tags are cut out first, each up to the next ``<`` or ``>``, so a page is read once however many
+# tags it leaves open.  Then their attributes are looked at, in whatever order they come.
+TAG = r"(?is)<(?:link|meta)\b[^<>]*>"
+CANONICAL = r"(?is)^<link\b.*\brel\s*=\s*[\"']?canonical\b"
+REFRESH = r"(?is)^<meta\b.*\bhttp-equiv\s*=\s*[\"']?refresh\b"
+HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
+CONTENT = r"(?is)\bcontent\s*=\s*[\"'][^\"'>]*\burl\s*=\s*([^\"'\s>]+)"
 
 
 def _rest(url: Column) -> Column:
@@ -86,13 +89,14 @@ def links_in(pages: DataFrame) -> DataFrame:
 
     Targets are resolved against the page's url, and ``&amp;`` in them is read as ``&``.
     """
-    def found(hint: str, pattern: str) -> Column:
-        return F.when(F.lower("html").contains(hint), F.regexp_extract_all("html", F.lit(pattern), 1))
-
-    base = _rest(F.col("url"))
-    each = pages.where(base.isNotNull()).select("url", F.explode(F.concat(
-        F.coalesce(found("canonical", CANONICAL), F.array()),
-        F.coalesce(found("refresh", REFRESH), F.array()))).alias("to"))
+    def last(pattern: str) -> Column:
+        return F.try_element_at(F.regexp_extract_all("tag", F.lit(pattern), 1), F.lit(-1))
+
+    html = F.lower("html")
+    each = (pages.where(_rest(F.col("url")).isNotNull() & (html.contains("canonical") | html.contains("refresh")))
+            .select("url", F.explode(F.regexp_extract_all("html", F.lit(TAG), 0)).alias("tag"))
+            .select("url", F.when(F.col("tag").rlike(CANONICAL), last(HREF))
+                    .when(F.col("tag").rlike(REFRESH), last(CONTENT)).alias("to")).where("to IS NOT NULL"))
     whole = resolved(F.col("url"), F.replace(F.col("to"), F.lit("&amp;"), F.lit("&")))
     return each.select(address(F.col("url")).alias("source"), address(whole).alias("target")).dropna()
 
