@@ -5,6 +5,7 @@ import collections
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_line_dedup import brute as lines_left
@@ -86,3 +87,25 @@ def test_packing(stages):
         got[r.doc_id] += r.length
         bins[r.sequence_id] += r.length
     assert got == want and max(bins.values()) <= 4096
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Extra columns with the names that the operators use inside, null texts and ids, repeated rows."""
+    names = ["toxic_score", "toxic_hits", "score", "n_lines", "n_removed_lines", "line_runs", "line_mark", "mark",
+             "doc", "row", "flags", "gone_id", "component_id", "kept", "n_shingles", "starts", "ends", "n_removed",
+             "n_tokens", "shard", "ids", "marks", "data", "carried_0", "first", "last", "a.b"]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("doc_id < 40")
+    odd = spark.createDataFrame([(None, "no id " * 30), (900, None), (901, ""), (902, "twice " * 30), (902, "twice " * 30)],
+                                "doc_id long, text string")
+    docs = docs.unionByName(odd, allowMissingColumns=True).select("*", *[F.lit(n).alias(n) for n in names])
+    docs = Scratch(spark, "odd")(docs, "docs")
+    n, scratch = docs.count(), Scratch(spark, "odd")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = scratch(stage(spark, docs, "/root/testdata/sf0.001"), name)
+        assert docs.columns == COLUMNS + names
+        assert docs.select(*[f"`{c}`" for c in names]).distinct().collect() == [tuple(names)]
+        assert n - 20 <= docs.count() <= n
+        rows = {r.doc_id: r.text for r in docs.where("doc_id is null or doc_id in (900, 901)").collect()}
+        assert rows[None] == "no id " * 30 and not rows[900] and rows[901] == ""
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, "/root/testdata/sf0.001")
+    assert packed.where("doc_id in (900, 901)").agg({"length": "sum"}).first()[0] == 2
