@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept.  All
 but the last return the columns of documents.  The runner writes each stage's result as
 Parquet and reads it back, so a stage's lineage ends with it.
+
+All stages keep extra columns as they are, whatever their names, read texts whole, however
+long, and give an empty table for an empty one.  A null text has nothing to reject, link or
+remove: it stays null in the first three stages and is empty after the fourth.  A null doc_id
+has no order: such a row removes nothing from others, and nothing is removed from it.
 """
 
 from __future__ import annotations
@@ -27,19 +32,29 @@ TOXIC = 0.5
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose score, learned from the labelled ones, says toxic."""
+    """Drops documents whose score, learned from the labelled ones, says toxic.
+
+    Repeated rows score alike; a score of exactly ``TOXIC`` rejects.
+    """
     ship(spark)
     lexicon = toxic.learn(docs, table(spark, sf_dir, "labels"))
     return docs.where(toxic.scorer(lexicon)(F.col("text"))["score"] < TOXIC)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes line runs that an earlier place holds; every document stays."""
+    """Removes line runs that an earlier place holds; every document stays.
+
+    Of equal runs the one with the smallest doc_id stays, within a document the first; rows that
+    repeat both doc_id and text are one place, so they stay alike.
+    """
     return _counted(remove_repeated_lines(docs, counts=False))
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies, the one with the smallest id."""
+    """Keeps one document of each group of near copies, the one with the smallest id.
+
+    Rows that repeat the doc_id that stays all stay; texts without a word are in no group.
+    """
     ship(spark)
     gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
     # Stored, so that Spark knows its size and need not shuffle the texts for a short list.
@@ -50,7 +65,8 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes byte runs that an earlier document holds; every document stays.
 
-    Where a run ends inside a character, the rest of that character goes too.
+    Where a run ends inside a character, the rest of that character goes too.  Of equal runs the
+    one with the smallest doc_id stays; rows with the same doc_id remove nothing from each other.
     """
     ship(spark)
     others = tuple(c for c in docs.columns if c != "text")
@@ -60,7 +76,7 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into sequences of 4096 tokens."""
+    """Packs what is left into sequences of 4096 tokens; an empty text is its end token alone."""
     ship(spark)
     return pack(docs, public_tokenizers.path(WORD_TOKENIZER))
 
