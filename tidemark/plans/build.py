@@ -123,7 +123,7 @@ def run_build(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, run_
         if before is None:
             state = history.summary(everything, of)
         else:
-            held = spark.read.parquet(house._path(name, before.build))
+            held = spark.read.parquet(house.path(name, before.build))
             later = everything.where(month > F.lit(before.through))
             state = history.merged(_state(held, of), history.summary(later, of), of)
         states[name] = write(name, _with_state(state, of)).drop("state")

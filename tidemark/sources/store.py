@@ -209,13 +209,17 @@ class Warehouse:
 
     # ---- tables ----
 
-    def _path(self, table: str, build: int) -> str:
+    def path(self, table: str, build: int) -> str:
         return f"{self.root}/{table}/build={build}"
 
+    def files(self, path: str) -> list[str]:
+        """Names of what lies in a folder; none if there is no folder."""
+        return _file_names(self.spark, path)
+
     def write(self, table: str, build: int, df: DataFrame) -> DataFrame:
         """Write one table of a build and return it as read back."""
-        df.write.mode("overwrite").parquet(self._path(table, build))
-        return self.spark.read.schema(df.schema).parquet(self._path(table, build))
+        df.write.mode("overwrite").parquet(self.path(table, build))
+        return self.spark.read.schema(df.schema).parquet(self.path(table, build))
 
     def write_monthly(self, table: str, build: int, df: DataFrame, month: str,
                       regroup: bool) -> DataFrame:
@@ -228,38 +232,47 @@ class Warehouse:
         """
         if regroup:
             df = df.hint("rebalance", month)
-        df.write.mode("overwrite").partitionBy(month).parquet(self._path(table, build))
-        return self.spark.read.schema(df.schema).parquet(self._path(table, build))
+        df.write.mode("overwrite").partitionBy(month).parquet(self.path(table, build))
+        return self.spark.read.schema(df.schema).parquet(self.path(table, build))
 
     def table(self, table: str) -> DataFrame:
         if not self.builds:
             raise LookupError(f"no finished build in {self.root}")
         if table not in self._tables:
             self._tables[table] = (self.monthly(table) if table in MONTHLY else
-                                   self.spark.read.parquet(self._path(table, self.builds[-1])))
+                                   self.spark.read.parquet(self.path(table, self.builds[-1])))
         return self._tables[table]
 
-    def monthly(self, table: str, now: tuple[int, Sequence[date | None]] | None = None) -> DataFrame:
-        """A monthly table, each month as the last build left it that wrote it; only directories
-        that count are read.  ``now`` adds the months of a build that is not finished yet."""
-        month = MONTHLY[table]()
+    def month_owners(self, table: str, now: tuple[int, Sequence[date | None]] | None = None
+                     ) -> tuple[int, dict[date | None, int]]:
+        """The last build that wrote a monthly table whole, and the builds whose months count
+        instead of its own."""
         log = [(c.build, c.months[table]) for c in self.commits if table in c.months]
         log += [now] if now else []
         whole = [i for i, (_, months) in enumerate(log) if months is None]
         if not whole:
             raise LookupError(f"no finished build in {self.root} has {table}")
-        base, later = log[whole[-1]][0], log[whole[-1] + 1:]
-        if not later:
-            return self.spark.read.parquet(self._path(table, base))
-        owner = {m: b for b, months in later for m in months}
+        return log[whole[-1]][0], {m: b for b, months in log[whole[-1] + 1:] for m in months}
+
+    def monthly(self, table: str, now: tuple[int, Sequence[date | None]] | None = None) -> DataFrame:
+        """A monthly table, each month as the last build left it that wrote it; only directories
+        that count are read.  ``now`` adds the months of a build that is not finished yet."""
+        month = MONTHLY[table]()
+        base, owner = self.month_owners(table, now)
+        if not owner:
+            return self.spark.read.parquet(self.path(table, base))
         rows = (F.col("build") == base) & ~in_months(month, list(owner))
         for b in set(owner.values()):
             rows = rows | (F.col("build") == b) & in_months(month, [m for m, o in owner.items() if o == b])
-        paths = [self._path(table, b) for b in sorted({base, *owner.values()})]
+        paths = [self.path(table, b) for b in sorted({base, *owner.values()})]
         return self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*paths).where(rows).drop("build")
 
     # ---- snapshots ----
 
+    def whole_since(self) -> int:
+        """The place in ``builds`` of the last one that wrote all open versions."""
+        return max((i for i, c in enumerate(self.commits) if c.whole), default=0)
+
     def snapshot_is_whole(self) -> bool:
         """Whether the next build should write all open versions."""
         since = [c.whole for c in reversed(self.commits)]
@@ -269,7 +282,7 @@ class Warehouse:
         """Write the versions that a build closed, and those that it opened, or all open ones."""
         state = F.when(F.col("valid_to").isNotNull(), CLOSED).otherwise(OPEN if whole else OPENED)
         (changes.withColumn("state", state).write.mode("overwrite").partitionBy("state")
-         .parquet(self._path(table, build)))
+         .parquet(self.path(table, build)))
 
     def _versions(self, table: str, builds: list[int], whole: bool | None) -> tuple[DataFrame, DataFrame]:
         """Closed and open versions after the last of ``builds``; ``whole`` says what the last
