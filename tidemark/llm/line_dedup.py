@@ -127,7 +127,8 @@ def remove_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, counts: b
     flags = F.flatten(F.transform("runs", lambda r: F.concat(F.array_repeat(F.lit(False), r["stay"]),
                                                              F.array_repeat(F.lit(True), r["go"]))))
     runs = Scratch(docs.sparkSession, "lines")(runs.select("doc", "mark", flags.alias("flags"), "removed"), "runs")
-    met = marked.join(runs, ["doc", "mark"], "left")
+    # The list of runs grows with the texts, so it is never sent to every task, at no size.
+    met = marked.join(runs.hint("shuffle_merge"), ["doc", "mark"], "left")
     lines = F.split(text, "\n")
     left = F.array_join(F.filter(lines, lambda x, i: ~F.coalesce(F.get("flags", i), F.lit(False))), "\n")
     out = [(F.when(F.col("flags").isNull(), text).otherwise(left) if c == "text" else F.col("row").getField(c)).alias(c)
