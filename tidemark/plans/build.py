@@ -110,9 +110,9 @@ def run_build(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, run_
         "silver.listings", n, listings.clean_listings(src["listings"], cutoff), "listing_month", False)
     everything = clean if touched is None else house.monthly("silver.listings", (n, touched))
     month = F.col("listing_month")
-    undated = not everything.where(month.isNull()).isEmpty()
-    last = clean.agg(F.max(month)).first()[0]
-    through = max((m for m in (last, *(c.through for c in house.commits if touched is not None)) if m), default=None)
+    seen = clean.agg(F.max(month).alias("last"), F.count_if(month.isNull()).alias("undated")).first()
+    undated = seen.undated > 0 or (touched is not None and None not in touched and house.commits[-1].undated)
+    through = max((m for m in (seen.last, *(c.through for c in house.commits if touched is not None)) if m), default=None)
 
     before = None
     if touched and None not in touched and not undated:
