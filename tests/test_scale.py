@@ -43,6 +43,17 @@ def test_landing_moves_only_what_the_columns_are_made_from(spark):
     assert below and "scrape_id" in above and "scrape_id" not in below
 
 
+def test_a_query_lands_its_own_table_alone(spark, monkeypatch):
+    read, whole = [], adapter.given
+    monkeypatch.setattr(adapter, "given", lambda s, d, name: read.append(name) or whole(s, d, name))
+    monkeypatch.setattr(queries, "_landed", {})
+    monkeypatch.setattr(queries, "_roots", {})
+    got = queries.QUERIES["census_g02"](spark, SF)
+    assert set(read) == {"customer", "nation", "region"}
+    want = geography.clean_census(adapter.census(spark, SF, "census_g02"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_builds_of_landed_months_shuffle_no_listing_rows(spark, monkeypatch):
     """The landed listings lie in monthly directories."""
     asked = []
