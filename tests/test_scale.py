@@ -61,3 +61,19 @@ def test_builds_of_landed_months_shuffle_no_listing_rows(spark, monkeypatch):
     monkeypatch.setattr(build, "run_build", lambda *_, **how: asked.append(how.get("regroup_months", True)))
     queries.house(spark, SF)
     assert asked == [False, False]
+
+
+def test_mart_rows_meet_in_one_shuffle_with_a_part_per_file(spark, tmp_path):
+    fact = (spark.range(400).selectExpr(
+        "cast(id % 5 as int) as host_id", "cast(id % 3 as string) as kind", "date'2020-01-01' as scraped_date",
+        "date'2020-01-01' as month_year", "1 as is_active", "cast(id as decimal(12,2)) as price",
+        "3 as availability_30", "id as review_scores_rating").repartition(7))
+    fact.write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    hosts = spark.sql("select 1 as host_id, true as host_is_superhost, timestamp_ntz'1900-01-01' as valid_from, "
+                      "cast(null as timestamp_ntz) as valid_to")
+    mart = marts.listing_metrics(fact, hosts, ["kind"])
+    plan = mart._jdf.queryExecution().executedPlan().toString()
+    assert f"hashpartitioning(kind, month_year, host_id, {len(fact.inputFiles())})" in re.sub(r"#\d+", "", plan)
+    got = {r.kind: (r.distinct_hosts, r.superhost_rate, r.total_stays) for r in mart.collect()}
+    assert got == {k: (5, 20, 27 * n) for k, n in (("0", 134), ("1", 133), ("2", 133))}

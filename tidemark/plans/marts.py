@@ -62,14 +62,22 @@ def listing_metrics(rows: DataFrame, hosts: DataFrame, group: Sequence[str],
                     month: str = "month_year") -> DataFrame:
     """The twelve listing metrics per group and month.
 
-    ``rows`` are fact rows that already carry the ``group`` columns.  They are reduced to
+    ``rows`` are fact rows that already carry the ``group`` columns.  They are brought together
+    by (group, month, host) as they are: few rows share those and a day, so combining in the map
+    tasks would hold nearly every row of a task beside ten measures.  There are as many parts as
+    stored files, since Spark would merge parts by their bytes in the shuffle, which are far fewer
+    than those of the measures.  Then they are reduced to
     one per (group, month, host, day) before they meet the host versions, so a host with a
     third of all rows is a few rows per group and day when a big dimension is shuffled; after
-    that join they are already together for the grouping by host.
+    that join, or with a broadcast dimension all along, they are together for the grouping by host.
     """
     keys = [*group, month]
     per_host = [*keys, "host_id"]
-    daily = rows.groupBy(*per_host, "scraped_date").agg(*_partials())
+    used = ["scraped_date", "is_active", "price", "availability_30", "review_scores_rating"]
+    narrow = rows.select(*per_host, *used)
+    files = len(rows.inputFiles())  # each holds a bounded number of fact rows, so a part does
+    together = narrow.repartition(files, *per_host) if files else narrow.repartition(*per_host)
+    daily = together.groupBy(*per_host, "scraped_date").agg(*_partials())
     marked = asof_join(daily, hosts, F.col("host_id"), "host_id", "scraped_date",
                        {"host_is_superhost": "host_is_superhost"})
     by_host = marked.groupBy(*per_host).agg(
