@@ -19,6 +19,14 @@ def _relink(edges: DataFrame, to: DataFrame, scratch: Scratch) -> DataFrame:
             .select(F.coalesce("to", "a").alias("a"), "b").where("a < b").distinct())
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each larger node has one edge and is the smaller node of none."""
+    ends = (edges.select(F.col("a").alias("node"), F.lit(1).alias("lower"), F.lit(0).alias("upper"))
+            .unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("lower"), F.lit(1).alias("upper"))))
+    return (ends.groupBy("node").agg(F.max("lower").alias("lower"), F.sum("upper").alias("upper"))
+            .where("upper > 1 or lower = 1 and upper = 1").isEmpty())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (a, b); a component is its least node.
 
@@ -31,12 +39,7 @@ def components(edges: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "components")
     edges = scratch(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                     .distinct(), "edges")
-    mark = F.struct(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
-    state = None
-    while (now := edges.agg(mark).first()[0]) != state:
-        state = now
-        if not now[0]:
-            break
+    while not _are_stars(edges):
         # Large-star: a's larger neighbours go to the least of a's neighbours.
         least = (edges.groupBy(F.col("b").alias("x")).agg(F.min("a").alias("to")))
         edges = scratch(_relink(edges, least.withColumnRenamed("x", "a"), scratch), "large")

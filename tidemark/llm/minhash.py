@@ -239,6 +239,8 @@ def _links(docs: DataFrame, placed: DataFrame, firsts: DataFrame, words: int, pe
                         .mapInArrow(_confirm(percent), "a long, b long").distinct(), "links")
         links = found if links is None else links.unionByName(found)
         groups = scratch(components(links), "groups")
+        # The stars join what the links joined, and the next components end in fewer rounds.
+        links = groups.where("component < node").select(F.col("component").alias("a"), F.col("node").alias("b"))
         used = hub.select("bucket", F.col("hub.node").alias("node"))
         left = scratch(members.drop("component").join(used, ["bucket", "node"], "left_anti")
                        .join(groups, "node", "left")
