@@ -120,3 +120,14 @@ def test_dates_with_too_many_parts_are_unreadable(spark):
     row = df.select(dates.day_first(F.col("d")), dates.month_start(F.col("m")),
                     dates.day_first(F.col("ok")), dates.month_start(F.col("fine"))).first()
     assert [str(v) for v in row] == ["None", "None", "2012-02-01", "2020-05-01"]
+
+
+def test_dates_are_read_without_splitting_text(spark):
+    texts = [None, "", "_", "05_2020", "5_2020", "_05_2020", "05_2020_", "05__2020", "052020", "//", "1/2/2012",
+             "/1/2/2012", "1/2/2012/", "1//2012", "1/2", "é_2020"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", dates.month_start(F.col("t")).alias("m"), dates.day_first(F.col("t")).alias("d"))
+    assert "split(" not in got._jdf.queryExecution().optimizedPlan().toString()
+    found = {r.t: (r.m, r.d) for r in got.collect() if r.m or r.d}
+    assert found == {"05_2020": (date(2020, 5, 1), None), "5_2020": (date(2020, 5, 1), None),
+                     "1/2/2012": (None, date(2012, 2, 1))}

@@ -74,6 +74,23 @@ def test_summaries_merge_in_any_grouping(spark, rows, seed):
     assert rows(left, *columns) == rows(right, *columns) == rows(whole, *columns)
 
 
+@pytest.mark.parametrize("make, windows", [(history.host_entity, 3), (history.listing_entity, 2)])
+def test_summary_walks_the_months_of_a_key_no_more_than_it_must(spark, rows, make, windows):
+    """Version numbers take two windows and gaps one; the last version is found while grouping."""
+    of = make()
+    undated = [list(r) for r in listings(spark, 6, 6).collect()]
+    for i, r in enumerate(undated):
+        r[2] = None if i % 5 == 0 else r[2]
+        r[3] = None if i % 3 == 0 else date(1905, 1, 1 + i % 28) if i % 4 == 0 else r[3]
+    df = spark.createDataFrame(undated, SCHEMA)
+    got = history.summary(df, of)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == windows
+    state = history.latest(got, of).join(got.select(of.key, "versions"), of.key)
+    want = whole_state(df, of)
+    assert rows(state, *sorted(state.columns)) == rows(want, *sorted(state.columns))
+
+
 # ---- builds ----
 
 

@@ -20,11 +20,16 @@ def _day(year: Column, month: Column, day: Column) -> Column:
     return F.concat_ws("-", year, month, day).try_cast("date")
 
 
+def _times(mark: str, text: Column) -> Column:
+    """How often a character is found; counting costs less than a split."""
+    return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+
+
 def month_start(month_text: Column) -> Column:
     """'MM_YYYY' to the first day of that month."""
     day = _day(F.substring_index(month_text, "_", -1), F.substring_index(month_text, "_", 1),
                F.lit("01"))
-    return F.when(F.size(F.split(month_text, "_")) == 2, day)
+    return F.when(_times("_", month_text) == 1, day)
 
 
 def iso_day(text: Column) -> Column:
@@ -35,7 +40,7 @@ def day_first(text: Column) -> Column:
     """Day-first text, with or without leading zeros."""
     month = F.substring_index(F.substring_index(text, "/", 2), "/", -1)
     day = _day(F.substring_index(text, "/", -1), month, F.substring_index(text, "/", 1))
-    return F.when(F.size(F.split(text, "/")) == 3, day)
+    return F.when(_times("/", text) == 2, day)
 
 
 def clamp_to_month(day: Column, month: Column) -> Column:

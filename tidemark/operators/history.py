@@ -147,22 +147,26 @@ def summary(rows: DataFrame, of: Entity) -> DataFrame:
     """
     if of.shuffle_rows:
         rows = rows.repartition(of.key)
-    monthly = _without_gaps(
-        monthly_rows(rows, of.key, of.month, of.date, of.order, of.attributes, of.empty), of.key, of.month)
+    monthly = monthly_rows(rows, of.key, of.month, of.date, of.order, of.attributes, of.empty)
+    if of.empty is not None:
+        monthly = _without_gaps(monthly, of.key, of.month)
     monthly = monthly.select(of.key, of.month, "first_date", F.col("best.is_gap").alias("is_gap"),
                              *[F.col(f"best.{a}").alias(a) for a in of.attributes])
     versions = number_versions(monthly, of.key, of.month, of.attributes)
     held = F.struct(*of.attributes)
     undated = F.col(of.month).isNull()
-    last = F.max("version_no").over(Window.partitionBy(of.key))
-    ranked = versions.withColumn("last_no", last)
-    return (ranked.groupBy(of.key)
-            .agg(F.min("is_gap").alias("is_gap"), F.max("version_no").alias("versions"),
+    # The highest version number and the smallest date of its rows: with its bits flipped a smaller
+    # date is greater, and a missing one is the smallest.
+    last_start = F.max(F.struct("version_no", F.bitwise_not(F.unix_date("first_date")).alias("day")))
+    return (versions.groupBy(of.key)
+            .agg(F.min("is_gap").alias("is_gap"),
                  F.min(F.struct(undated, of.month, held.alias("held"))).alias("first"),
                  F.max(F.struct(undated, of.month, held.alias("held"))).alias("last"),
-                 F.min(F.when(F.col("version_no") == F.col("last_no"), F.col("first_date"))).alias("updated_at"))
-            .select(of.key, "is_gap", F.col("versions").cast("long").alias("versions"), F.col("first.held").alias("first"),
-                    F.col("last.held").alias("last"), F.col(f"last.{of.month}").alias("month"), "updated_at"))
+                 last_start.alias("started"))
+            .select(of.key, "is_gap", F.col("started.version_no").cast("long").alias("versions"),
+                    F.col("first.held").alias("first"), F.col("last.held").alias("last"),
+                    F.col(f"last.{of.month}").alias("month"),
+                    F.date_from_unix_date(F.bitwise_not(F.col("started.day"))).alias("updated_at")))
 
 
 def merged(before: DataFrame, after: DataFrame, of: Entity) -> DataFrame:
